@@ -1,11 +1,14 @@
 """The test tables seen as the raw inputs of this engine (see FIXTURES.md, section 4)."""
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from spendlens import session
 from spendlens.functions import exprs
+from spendlens.plans.warehouse import Warehouse
 
 PRIORITY = {"1-URGENT": "Critical", "2-HIGH": "High", "3-MEDIUM": "Medium"}
-ORDER_STATUS = {"F": " Completed ", "O": "in progress"}
 SEGMENT_LEVEL = {
     "AUTOMOBILE": "Junior", "BUILDING": "Mid", "FURNITURE": "Senior", "HOUSEHOLD": "Lead",
 }
@@ -52,7 +55,10 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
             _text("o_orderkey").alias("project_id"),
             F.concat(F.lit("Project "), _text("o_orderkey")).alias("project_name"),
             F.col("n_name").alias("department"),
-            exprs.lookup(F.col("o_orderstatus"), ORDER_STATUS, "On Hold").alias("status"),
+            F.when(F.col("o_orderstatus") == "F", " Completed ")
+            .when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 3 == 0), "in progress")
+            .when(F.col("o_orderstatus") == "O", " In Progress")
+            .otherwise("On Hold").alias("status"),
             F.to_date("o_orderdate").alias("start_date"),
             F.when(F.col("o_orderstatus") == "F", F.col("last_ship")).alias("end_date"),
             F.when(F.col("o_orderkey") % 97 != 0, _money("o_totalprice")).alias("budget"),
@@ -177,3 +183,22 @@ def bind_events(raw: DataFrame) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind_events(table(spark, sf_dir, "events"))
+
+
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First and last day of the years the transactions span, as one row."""
+    day = F.to_date("l_shipdate")
+    return table(spark, sf_dir, "lineitem").agg(
+        F.trunc(F.min(day), "year").alias("first"),
+        F.last_day(F.add_months(F.trunc(F.max(day), "year"), 11)).alias("last"),
+    )
+
+
+@cache
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The star schema over the test tables; each table is built once per session."""
+    return Warehouse(
+        session.fresh_path(spark, "warehouse"),
+        projects(spark, sf_dir), employees(spark, sf_dir), history(spark, sf_dir),
+        transactions(spark, sf_dir), calendar_bounds(spark, sf_dir),
+    )

@@ -1,8 +1,10 @@
 """Star schema: calendar, projects, versioned employees, vendors, bridge and transaction facts."""
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendlens import schemas, session
+from spendlens import schemas
 from spendlens.functions import exprs
 from spendlens.operators import dedup, lookups, ordering, temporal
 from spendlens.plans.employees import DEFAULT_DOMAIN
@@ -17,17 +19,24 @@ def _keyed(df: DataFrame, key: str, *order: str) -> DataFrame:
     return ordering.without_order(ordering.row_index(ordering.ordered(df, *order), key))
 
 
-def build_dim_date(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("d")
-    )
+def calendar_bounds(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
+    """One row with the first and the last day of the calendar."""
+    return spark.range(1).select(F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last"))
+
+
+def build_dim_date(bounds: DataFrame) -> DataFrame:
+    """One row per day from ``first`` to ``last`` of the one-row frame ``bounds``."""
     d = F.col("d")
-    return days.select(
-        exprs.date_key(d).alias("date_key"), d.alias("full_date"),
-        F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
-        F.date_format(d, "MMMM").alias("month_name"), F.weekofyear(d).alias("week"),
-        F.dayofmonth(d).alias("day"), F.date_format(d, "EEEE").alias("day_of_week"),
-        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+    days = bounds.select(F.explode(F.sequence("first", "last")).alias("d"))
+    return enforce_schema(
+        days.select(
+            exprs.date_key(d).alias("date_key"), d.alias("full_date"),
+            F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"),
+            F.date_format(d, "MMMM").alias("month_name"), F.weekofyear(d).alias("week"),
+            F.dayofmonth(d).alias("day"), F.date_format(d, "EEEE").alias("day_of_week"),
+            F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+        ),
+        schemas.DIM_DATE,
     )
 
 
@@ -244,46 +253,65 @@ def build_fact_transactions(
     return enforce_schema(_keyed(rows, "transaction_key", "transaction_id"), schemas.FACT_TRANSACTIONS)
 
 
-def build_warehouse(
-    projects: DataFrame,
-    employees: DataFrame,
-    history: DataFrame,
-    transactions: DataFrame,
-    path: str,
-    calendar: tuple[str, str] = CALENDAR,
-    unknown_key: int = UNKNOWN_EMPLOYEE_KEY,
-) -> dict[str, DataFrame]:
-    """Write the six tables under ``path`` and return them as read back.
+class Warehouse:
+    """The six tables under ``path``, each written when it is first asked for.
 
-    Each table is rebuilt from scratch, and later tables read the earlier ones from storage.
+    A table is rebuilt from scratch, and tables that depend on it read it back from storage.
     """
-    spark = projects.sparkSession
-
-    def saved(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        return spark.read.schema(schemas.WAREHOUSE[name]).parquet(f"{path}/{name}")
-
-    tables = {"dim_date": saved("dim_date", enforce_schema(build_dim_date(spark, *calendar), schemas.DIM_DATE))}
-    tables["dim_project"] = saved("dim_project", build_dim_project(projects))
-    tables["dim_employee"] = saved("dim_employee", build_dim_employee(history, employees))
-    tables["dim_vendor"] = saved("dim_vendor", build_dim_vendor(transactions))
-    tables["bridge_employee_project"] = saved(
-        "bridge_employee_project", build_bridge(tables["dim_project"], tables["dim_employee"])
-    )
-    tables["fact_transactions"] = saved(
-        "fact_transactions",
-        build_fact_transactions(
-            transactions, tables["dim_project"], tables["dim_employee"], tables["dim_vendor"],
-            tables["dim_date"], unknown_key,
-        ),
-    )
-    return tables
 
+    def __init__(
+        self,
+        path: str,
+        projects: DataFrame,
+        employees: DataFrame,
+        history: DataFrame,
+        transactions: DataFrame,
+        calendar: DataFrame | None = None,
+        unknown_key: int = UNKNOWN_EMPLOYEE_KEY,
+    ):
+        self.path = path
+        self.spark = projects.sparkSession
+        self.projects, self.employees = projects, employees
+        self.history, self.transactions = history, transactions
+        self.calendar = calendar if calendar is not None else calendar_bounds(self.spark)
+        self.unknown_key = unknown_key
+
+    def _saved(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(schemas.WAREHOUSE[name]).parquet(f"{self.path}/{name}")
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._saved("dim_date", build_dim_date(self.calendar))
+
+    @cached_property
+    def dim_project(self) -> DataFrame:
+        return self._saved("dim_project", build_dim_project(self.projects))
+
+    @cached_property
+    def dim_employee(self) -> DataFrame:
+        return self._saved("dim_employee", build_dim_employee(self.history, self.employees))
+
+    @cached_property
+    def dim_vendor(self) -> DataFrame:
+        return self._saved("dim_vendor", build_dim_vendor(self.transactions))
+
+    @cached_property
+    def bridge_employee_project(self) -> DataFrame:
+        return self._saved("bridge_employee_project", build_bridge(self.dim_project, self.dim_employee))
+
+    @cached_property
+    def fact_transactions(self) -> DataFrame:
+        return self._saved(
+            "fact_transactions",
+            build_fact_transactions(
+                self.transactions, self.dim_project, self.dim_employee, self.dim_vendor,
+                self.dim_date, self.unknown_key,
+            ),
+        )
 
-def scratch_warehouse(projects, employees, history, transactions, **options) -> dict[str, DataFrame]:
-    """:func:`build_warehouse` in a fresh folder of the shared directory."""
-    path = session.fresh_path(projects.sparkSession, "warehouse")
-    return build_warehouse(projects, employees, history, transactions, path, **options)
+    def build(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in schemas.WAREHOUSE}
 
 
 def multiple_current(dim_employee: DataFrame) -> DataFrame:

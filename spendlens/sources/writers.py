@@ -29,7 +29,11 @@ def enforce_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, o
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Directory of CSV files with a header; text keeps its surrounding blanks."""
+    (
+        df.write.mode("overwrite").option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    )
 
 
 def write_parquet(df: DataFrame, path: str, partition_cols: Sequence[str] = (), single_file: bool = False) -> None:
