@@ -103,11 +103,9 @@ def implausible_date(column: Column, as_of: Column, earliest: str = "1990-01-01"
 
 def email_base(full_name: Column) -> Column:
     """``first.last`` from a name, or the cleaned name when it has fewer than two words."""
-    letters = F.trim(F.regexp_replace(F.lower(full_name), r"[^\p{L}\p{Z}\s]", ""))
-    words = F.filter(F.split(letters, r"[\p{Z}\s]+"), lambda word: word != "")
-    return F.when(
-        F.size(words) >= 2, F.concat_ws(".", F.element_at(words, 1), F.element_at(words, -1))
-    ).otherwise(F.coalesce(F.get(words, F.lit(0)), F.lit("")))
+    letters = F.regexp_replace(F.lower(full_name), r"[^\p{L}\p{Z}\s]", "")
+    words = F.trim(F.regexp_replace(letters, r"[\p{Z}\s]+", " "))
+    return F.coalesce(F.regexp_replace(words, r"^(\S+) (?:.* )?(\S+)$", "$1.$2"), F.lit(""))
 
 
 def iso_date(column: Column) -> Column:

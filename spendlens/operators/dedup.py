@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
-    """Order over all remaining columns, so that keeping one row of many is repeatable."""
-    rest = [field for field in df.schema.fields if field.name not in skip]
+    """Order over the remaining columns, so that keeping one row of many is repeatable.
+
+    Maps have no order; rows that differ in nothing else are interchangeable.
+    """
     return [
-        F.to_json(F.col(f.name)) if isinstance(f.dataType, T.MapType) else F.col(f.name)
-        for f in rest
+        F.col(field.name) for field in df.schema.fields
+        if field.name not in skip and not isinstance(field.dataType, T.MapType)
     ]
 
 
@@ -31,6 +33,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_name: str = "row_co
     return df.groupBy(*keys).agg(F.count("*").alias(count_name)).where(F.col(count_name) > 1)
 
 
+def unique_by(rows: DataFrame, key: str) -> DataFrame:
+    """First row per key of a stored table. The rows move only if some key really repeats;
+    a unique key costs one pass over its column."""
+    return rows if duplicate_keys(rows, [key]).isEmpty() else keep_first(rows, [key])
+
+
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Append the rows of ``new`` whose key is not yet there; the first of equal keys wins."""
     known = existing.select(*keys)

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spendlens.operators import ordering
 
@@ -26,30 +26,36 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def exact_median(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
+def _same(left: str, right: str, groups: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for group in groups:
+        condition &= F.col(f"{left}.{group}").eqNullSafe(F.col(f"{right}.{group}"))
+    return condition
+
+
+def exact_median(
+    df: DataFrame, value: str, groups: Sequence[str] = (), limit: int = ordering.GROUP_LIMIT
+) -> DataFrame:
     """Median per group as ``median`` (double), exact for any number of distinct values.
 
-    Values are counted before the shuffle and ranked by a running count over the sorted
-    values; no group has to fit into one task.
+    Values are counted per group before anything else. Up to ``limit`` distinct values a group's
+    counts fit the built-in aggregate; beyond, they are ranked by a distributed running count.
     """
     if not groups:
-        return exact_median(df.withColumn("_all", F.lit(0)), value, ["_all"]).drop("_all")
+        return exact_median(df.withColumn("_all", F.lit(0)), value, ["_all"], limit).drop("_all")
     groups = list(groups)
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*groups, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     )
-    ranked = ordering.running_total(
-        ordering.ordered(counts, *groups, "_v"), groups, F.col("_n"), "_upto"
-    )
+    if ordering.fits_one_task(counts, groups, limit):
+        return counts.groupBy(*groups).agg(F.percentile("_v", 0.5, F.col("_n")).alias("median"))
+    ranked = ordering.cumulate(counts, groups, ["_v"], F.col("_n"), "_upto", 0)
     totals = ranked.groupBy(*groups).agg(F.max("_upto").alias("_total"))
-    same_group = F.lit(True)
-    for group in groups:
-        same_group &= F.col(f"r.{group}").eqNullSafe(F.col(f"t.{group}"))
     low = F.floor((F.col("_total") + 1) / 2)
     high = F.floor(F.col("_total") / 2) + 1
     return (
-        ranked.alias("r").join(totals.alias("t"), same_group)
+        ranked.alias("r").join(totals.alias("t"), _same("r", "t", groups))
         .groupBy(*[F.col(f"t.{group}").alias(group) for group in groups])
         .agg(
             (
@@ -68,10 +74,7 @@ def describe_by(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
         F.min(value).alias("min"), F.max(value).alias("max"),
     )
     medians = exact_median(df, value, groups)
-    same_group = F.lit(True)
-    for group in groups:
-        same_group &= F.col(f"s.{group}").eqNullSafe(F.col(f"m.{group}"))
-    return summary.alias("s").join(medians.alias("m"), same_group, "left").select(
+    return summary.alias("s").join(medians.alias("m"), _same("s", "m", groups), "left").select(
         *[F.col(f"s.{group}").alias(group) for group in groups],
         "value_count", "mean", "min", "median", "max",
     )

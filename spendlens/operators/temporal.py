@@ -59,7 +59,9 @@ def temporal_left_join(
     return facts.join(found, [key, day], "left")
 
 
-def overlaps(versions: DataFrame, key: str, version_key: str) -> DataFrame:
+def overlaps(
+    versions: DataFrame, key: str, version_key: str, limit: int = ordering.GROUP_LIMIT
+) -> DataFrame:
     """Pairs of versions of one key whose intervals overlap.
 
     Sorted by start, the versions that overlap a later one form a run behind it. The length of
@@ -72,8 +74,10 @@ def overlaps(versions: DataFrame, key: str, version_key: str) -> DataFrame:
     starts = base.select("k", F.col("f").alias("d"), F.lit(1).alias("is_start"), "v", "f", "t")
     ends = base.select("k", F.col("t").alias("d"), F.lit(0).alias("is_start"), "v", "f", "t")
     # an end sorts before the starts of its day: touching intervals do not overlap
-    merged = ordering.ordered(starts.unionByName(ends), "k", "d", "is_start", "v")
-    counted = ordering.running_total(merged, ["k"], F.col("is_start").cast("bigint"), "started")
+    counted = ordering.cumulate(
+        starts.unionByName(ends), ["k"], ["d", "is_start", "v"], F.col("is_start").cast("bigint"),
+        "started", limit,
+    )
 
     numbered = counted.where("is_start = 1").select("k", "v", "f", "t", F.col("started").alias("n"))
     reach = counted.where("is_start = 0").select("k", "v", F.col("started").alias("last"))

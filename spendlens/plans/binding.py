@@ -22,7 +22,9 @@ EVENT_TYPES = {
 }
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # the schema is read from the files once per session
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

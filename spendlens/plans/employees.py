@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spendlens.functions import exprs
 from spendlens.operators import dedup, ordering, stats
+from spendlens.session import materialize
 
 CANONICAL_COLUMNS = (
     "employee_id", "full_name", "email", "department", "role", "level", "hire_date",
@@ -21,7 +22,6 @@ DEFAULT_DOMAIN = "example.com"
 def _local_parts(emails: DataFrame, domain: str) -> DataFrame:
     """Taken addresses of the domain as (base, suffix), one row per way to split the digits off."""
     local = F.substring_index("address", "@", 1)
-    tail = F.regexp_extract(local, r"([1-9][0-9]{0,17})$", 1)
     digits = F.length(F.regexp_extract(local, r"([0-9]{0,18})$", 1))
     cuts = F.explode(F.sequence(F.lit(0), digits))
     size = F.length("local")
@@ -29,12 +29,14 @@ def _local_parts(emails: DataFrame, domain: str) -> DataFrame:
         emails.where(F.substring_index("address", "@", -1) == domain)
         .select(local.alias("local"), cuts.alias("cut"))
         .select(
-            F.substring("local", F.lit(1), size - F.col("cut")).alias("base"),
-            F.substring("local", size - F.col("cut") + 1, F.col("cut")).alias("suffix"),
+            F.substring("local", F.lit(1), size - F.col("cut")).alias("_base"),
+            F.substring("local", size - F.col("cut") + 1, F.col("cut")).alias("tail"),
+        )
+        .where((F.col("tail") == "") | F.col("tail").rlike("^[1-9]"))
+        .select(
+            "_base", F.when(F.col("tail") == "", F.lit(0).cast("bigint"))
+            .otherwise(F.col("tail").try_cast("bigint")).alias("_suffix"),
         )
-        .where((F.col("suffix") == "") | F.col("suffix").rlike("^[1-9]"))
-        .select("base", F.when(F.col("suffix") == "", F.lit(0)).otherwise(F.col("suffix").try_cast("bigint"))
-                .cast("bigint").alias("suffix"))
     )
 
 
@@ -43,57 +45,49 @@ def fill_emails(
     domain: str = DEFAULT_DOMAIN,
     order: tuple[str, ...] = ("employee_id",),
     id_fallback: bool = True,
+    limit: int = ordering.GROUP_LIMIT,
+    missing: Column | None = None,
 ) -> DataFrame:
     """Give every row without an email the first free ``first.last[n]`` address.
 
     The r-th missing row of a base name gets the r-th suffix that no existing address uses.
     With the used suffixes u(0) < u(1) < ... placed at u(j) - j and the missing rows at
     0, 1, 2, ..., that suffix is the row's place in the merged order of both, less one. Two
-    distributed numberings do it; no name's rows have to meet in one task.
+    numberings do it, and a name with more than ``limit`` rows is spread over many tasks.
     """
-    missing = exprs.is_blank(F.col("email"))
+    if missing is None:
+        missing = exprs.is_blank(F.col("email"))
     present = df.where(~missing)
     base = exprs.email_base(F.col("full_name"))
     if id_fallback:
         base = F.when(base == "", F.concat(F.lit("employee_"), F.lower("employee_id"))).otherwise(base)
-    wanted = df.where(missing).withColumn("base", base)
+    # the few rows to repair are stored: both numberings and their size checks read them
+    wanted = materialize(df.where(missing).withColumn("_base", base), "missing-emails")
+    if wanted.isEmpty():
+        return df
 
     addresses = present.select(F.lower(F.trim("email")).alias("address"))
+    taken = _local_parts(addresses, domain)
     if id_fallback:
         # addresses made of an id end in digits: keep generated suffixes away from them
-        reserved = wanted.where(F.col("base").startswith("employee_")).select(
-            F.concat(F.col("base"), F.lit(f"@{domain}")).alias("address")
-        )
-        taken = _local_parts(addresses, domain).unionByName(
-            _local_parts(reserved, domain).where("suffix > 0")
+        reserved = wanted.where(F.col("_base").startswith("employee_")).select(
+            F.concat(F.col("_base"), F.lit(f"@{domain}")).alias("address")
         )
-    else:
-        taken = _local_parts(addresses, domain)
-    taken = taken.distinct().join(wanted.select("base").distinct(), "base", "left_semi")
-
-    payload = F.struct(*[F.col(name) for name in df.columns])
-    place = [F.col(name) for name in order]
-    rest = dedup.tie_break(df, order)
-    members = wanted.select(
-        "base", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("suffix"),
-        F.struct(*place, *[c.alias(f"r{i}") for i, c in enumerate(rest)]).alias("place"),
-        payload.alias("row"),
-    ).unionByName(
-        taken.select("base", F.lit(0).alias("kind"), "suffix"), allowMissingColumns=True
-    )
-    numbered = ordering.group_row_number(
-        ordering.ordered(members, "base", "kind", "suffix", "place"), ["base", "kind"], "n"
+        taken = taken.unionByName(_local_parts(reserved, domain).where("_suffix > 0"))
+    taken = taken.distinct().join(wanted.select("_base").distinct(), "_base", "left_semi")
+
+    members = wanted.withColumns({"_kind": F.lit(1), "_suffix": F.lit(None).cast("bigint")}).unionByName(
+        taken.withColumn("_kind", F.lit(0)), allowMissingColumns=True
     )
-    merged = ordering.without_order(numbered).withColumn(
-        "slot", F.when(F.col("kind") == 0, F.col("suffix") - (F.col("n") - 1)).otherwise(F.col("n") - 1)
+    input_order = [*order, *[name for name in df.columns if name not in order]]
+    numbered = ordering.number_in_groups(members, ["_base", "_kind"], ["_suffix", *input_order], "_n", limit)
+    merged = numbered.withColumn(
+        "_slot", F.when(F.col("_kind") == 0, F.col("_suffix") - (F.col("_n") - 1)).otherwise(F.col("_n") - 1)
     )
-    placed = ordering.group_row_number(
-        ordering.ordered(merged, "base", "slot", "kind", "n"), ["base"], "m"
-    ).where("kind = 1")
-    number = F.when(F.col("m") > 1, (F.col("m") - 1).cast("string")).otherwise("")
-    address = F.concat(F.col("base"), number, F.lit(f"@{domain}"))
-    filled = placed.select("row.*", address.alias("_address")).withColumn("email", F.col("_address"))
-    return present.unionByName(filled.drop("_address"))
+    placed = ordering.number_in_groups(merged, ["_base"], ["_slot", "_kind", "_n"], "_m", limit).where("_kind = 1")
+    number = F.when(F.col("_m") > 1, (F.col("_m") - 1).cast("string")).otherwise("")
+    filled = placed.withColumn("email", F.concat(F.col("_base"), number, F.lit(f"@{domain}")))
+    return present.unionByName(materialize(filled.select(*df.columns), "filled-emails"))
 
 
 def employee_flags(df: DataFrame, as_of: Column, earliest: str = "1990-01-01") -> DataFrame:
@@ -138,16 +132,18 @@ def clean_employees(
     conflict = F.lit(False)
     for rule in status_rules:
         conflict |= exprs.flag(F.expr(rule))
-    flagged = flagged.withColumn("dq_status_conflict", conflict)
+    # stored once: both medians, the email numbering and the repairs read it
+    flagged = materialize(flagged.withColumn("dq_status_conflict", conflict), "flagged-employees")
     # the medians see all parsed dates and all Junior salaries, before any repair
     middle_day = stats.median_day(flagged, "_hired").scalar()
-    juniors = df.select(exprs.as_double(df, "salary").alias("salary"), "level").where("level = 'Junior'")
+    juniors = flagged.where("level = 'Junior'").select(exprs.as_double(flagged, "salary").alias("salary"))
     junior_salary = (
         stats.exact_median(juniors, "salary").select(F.floor("median").alias("median")).scalar()
     )
     hired = F.when(F.col("_hired").isNull() | F.col("_implausible"), middle_day).otherwise(F.col("_hired"))
     salary_type = df.schema["salary"].dataType
-    repaired = fill_emails(flagged, domain, order, id_fallback).withColumns({
+    filled = fill_emails(flagged, domain, order, id_fallback, missing=F.col("dq_missing_email"))
+    repaired = filled.withColumns({
         "hire_date": exprs.iso_date(hired),
         "years_experience": exprs.zero_if_null(F.abs("_experience")).try_cast("int"),
         "manager_id": F.when(F.col("dq_self_manager"), ROOT_MANAGER).otherwise(F.col("manager_id")),

@@ -14,9 +14,17 @@ CALENDAR = ("2020-01-01", "2026-12-31")  # fixed values: default bounds of dim_d
 UNKNOWN_EMPLOYEE_KEY = 1  # fixed value: key given to facts without a known approver
 
 
-def _keyed(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """Dense surrogate key along the natural key."""
-    return ordering.without_order(ordering.row_index(ordering.ordered(df, *order), key))
+def _keyed(df: DataFrame, key: str, natural_key: str) -> DataFrame:
+    """Dense surrogate key along the natural key; the first row of a repeated key is kept.
+
+    The sorted rows are stored once. Repeats are looked for in that copy, so unique input is
+    shuffled a single time.
+    """
+    rows = ordering.ordered(df, natural_key)
+    unique = dedup.unique_by(rows, natural_key)
+    if unique is not rows:
+        rows = ordering.ordered(ordering.without_order(unique), natural_key)
+    return ordering.without_order(ordering.row_index(rows, key))
 
 
 def calendar_bounds(spark: SparkSession, first: str = CALENDAR[0], last: str = CALENDAR[1]) -> DataFrame:
@@ -42,8 +50,7 @@ def build_dim_date(bounds: DataFrame) -> DataFrame:
 
 def build_dim_project(projects: DataFrame) -> DataFrame:
     money = schemas.MONEY
-    first = dedup.keep_first(projects, ["project_id"])
-    typed = first.withColumns({
+    typed = projects.withColumns({
         "status": F.trim("status"),
         "start_date": exprs.as_date(projects, "start_date"),
         "end_date": exprs.as_date(projects, "end_date"),
@@ -200,7 +207,7 @@ def build_bridge(dim_project: DataFrame, dim_employee: DataFrame) -> DataFrame:
         "project_key", "employee_key",
         F.lit("Project Manager").alias("role_in_project"), F.lit(100).alias("allocation_pct"),
     )
-    keyed = _keyed(pairs, "bridge_key", "project_key", "employee_key")
+    keyed = _keyed(pairs, "bridge_key", "project_key")
     return enforce_schema(keyed, schemas.BRIDGE_EMPLOYEE_PROJECT)
 
 
@@ -212,13 +219,13 @@ def transaction_rows(
     dim_date: DataFrame,
     unknown_key: int = UNKNOWN_EMPLOYEE_KEY,
 ) -> DataFrame:
-    """Facts with their dimension keys, one per transaction id, not yet numbered.
+    """Facts with their dimension keys, not yet numbered.
 
     Rows of an unknown project, vendor or day are left out; the approver is the version valid
     on the transaction day, or ``unknown_key``.
     """
     amount = exprs.zero_if_null(exprs.as_decimal(transactions, "amount", schemas.MONEY), schemas.MONEY)
-    rows = dedup.keep_first(transactions, ["transaction_id"]).withColumns({
+    rows = transactions.withColumns({
         "day": exprs.as_date(transactions, "transaction_date"),
         "amount": amount,
         "amount_aed": amount,
