@@ -97,7 +97,7 @@ def _fact_asof_employee(spark: SparkSession, d: str) -> DataFrame:
     return temporal.temporal_left_join(
         binding.transactions(spark, d).select("transaction_id", "approved_by", "transaction_date"),
         binding.warehouse(spark, d).dim_employee,
-        "approved_by", "transaction_date", "employee_id", "employee_key",
+        "approved_by", "transaction_date", "employee_id", "employee_key", spread_by="transaction_id",
     )
 
 

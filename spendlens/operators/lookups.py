@@ -6,8 +6,45 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spendlens.functions import exprs
 from spendlens.operators.dedup import keep_first
+from spendlens.session import materialize
 
-NULL_KEY_SALTS = 1024
+KEY_LIMIT = 10_000_000  # rows of one join key that a single task may stream
+
+
+def spread_join(
+    facts: DataFrame,
+    side: DataFrame,
+    keys: Sequence[str],
+    spread_by: str,
+    how: str = "left",
+    limit: int = KEY_LIMIT,
+) -> DataFrame:
+    """Join a side that is unique on ``keys`` to facts that may be heavily skewed on them.
+
+    Rows per key (null included) are counted first. A key above ``limit`` rows is cut into
+    pieces by the hash of ``spread_by``, and its one row of ``side`` is copied to each piece.
+    The adaptive skew join cannot do this when ``side`` comes out of a window or an aggregate.
+    """
+    keys = list(keys)
+    sizes = facts.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    hot = materialize(
+        sizes.select(*[F.col(key).alias(f"_hot_{key}") for key in keys], F.ceil(F.col("n") / limit).alias("_pieces")),
+        "hot-keys",
+    )
+    if hot.isEmpty():
+        return facts.join(side, keys, how)
+
+    def tagged(df: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for key in keys:
+            same &= df[key].eqNullSafe(hot[f"_hot_{key}"])
+        # at most (rows / limit) keys are hot
+        joined = df.join(F.broadcast(hot), same, "left")
+        return joined.select(*[df[name] for name in df.columns], F.coalesce("_pieces", F.lit(1)).alias("_pieces"))
+
+    pieces = tagged(facts).withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.col("_pieces"))).drop("_pieces")
+    copies = tagged(side).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
+    return pieces.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 
 def left_lookup(
@@ -16,27 +53,20 @@ def left_lookup(
     fact_key: str,
     dim_key: str,
     columns: Mapping[str, str],
-    spread_by: str | None = None,
+    spread_by: str,
+    limit: int = KEY_LIMIT,
 ) -> DataFrame:
     """Add columns of ``dim`` to ``facts`` without changing the number of rows.
 
-    ``columns`` maps the dimension column to its name in the result. Rows without a key match
-    nothing; ``spread_by`` names a column that scatters them over many tasks instead of one.
-    Hot keys that do match are split by the adaptive skew join, since the dimension side is
-    unique on its key.
+    ``columns`` maps the dimension column to its name in the result; ``spread_by`` names a
+    column of ``facts`` with many values, by which the rows of a hot key are divided.
     """
-    wanted = keep_first(dim.where(F.col(dim_key).isNotNull()).select(dim_key, *columns), [dim_key])
-    side = wanted.select(
-        F.col(dim_key).alias("_key"), *[F.col(old).alias(new) for old, new in columns.items()]
+    unique = keep_first(dim.where(F.col(dim_key).isNotNull()).select(dim_key, *columns), [dim_key])
+    side = unique.select(
+        F.col(dim_key).alias(fact_key), *[F.col(old).alias(new) for old, new in columns.items()]
     )
-    kept = facts.columns
-    if spread_by:
-        scattered = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SALTS)).cast("string"))
-        facts = facts.withColumn("_probe", F.coalesce(F.col(fact_key), scattered))
-        condition = (F.col("_probe") == F.col("_key")) & F.col(fact_key).isNotNull()
-    else:
-        condition = F.col(fact_key) == F.col("_key")
-    return facts.join(side, condition, "left").select(*kept, *columns.values())
+    joined = spread_join(facts, side, [fact_key], spread_by, limit=limit)
+    return joined.select(*facts.columns, *columns.values())
 
 
 def current_versions(dim_employee: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendlens.operators import ordering
+from spendlens.session import materialize
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def exact_median(
     if ordering.fits_one_task(counts, groups, limit):
         return counts.groupBy(*groups).agg(F.percentile("_v", 0.5, F.col("_n")).alias("median"))
     ranked = ordering.cumulate(counts, groups, ["_v"], F.col("_n"), "_upto", 0)
-    totals = ranked.groupBy(*groups).agg(F.max("_upto").alias("_total"))
+    totals = materialize(ranked.groupBy(*groups).agg(F.max("_upto").alias("_total")), "totals")
     low = F.floor((F.col("_total") + 1) / 2)
     high = F.floor(F.col("_total") / 2) + 1
     return (

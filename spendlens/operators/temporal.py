@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from spendlens.operators import ordering
+from spendlens.operators import lookups, ordering
 
 END_OF_TIME = "9999-12-31"
 
@@ -53,10 +53,12 @@ def temporal_left_join(
     day: str,
     version_key: str,
     value: str,
+    spread_by: str,
+    limit: int = lookups.KEY_LIMIT,
 ) -> DataFrame:
     """Add the value valid on the row's day; null where no version covers it."""
     found = point_in_time(facts, versions, key, day, version_key, value)
-    return facts.join(found, [key, day], "left")
+    return lookups.spread_join(facts, found, [key, day], spread_by, limit=limit)
 
 
 def overlaps(

@@ -74,7 +74,9 @@ def fill_emails(
             F.concat(F.col("_base"), F.lit(f"@{domain}")).alias("address")
         )
         taken = taken.unionByName(_local_parts(reserved, domain).where("_suffix > 0"))
-    taken = taken.distinct().join(wanted.select("_base").distinct(), "_base", "left_semi")
+    # a stored side has a known size: it is broadcast if small, else the skew join can split
+    bases = materialize(wanted.select("_base").distinct(), "email-bases")
+    taken = taken.distinct().join(bases, "_base", "left_semi")
 
     members = wanted.withColumns({"_kind": F.lit(1), "_suffix": F.lit(None).cast("bigint")}).unionByName(
         taken.withColumn("_kind", F.lit(0)), allowMissingColumns=True

@@ -95,7 +95,9 @@ def employee_versions(history: DataFrame, employees: DataFrame, domain: str = DE
         F.coalesce("region", F.lit("Abu Dhabi")).alias("region"),
         exprs.zero_if_null(experience, "int").alias("years_experience"),
     )
-    past = changes.join(identity, "employee_id").withColumn("is_current", F.lit(False))
+    past = lookups.spread_join(changes, identity, ["employee_id"], "source_key", "inner").withColumn(
+        "is_current", F.lit(False)
+    )
     latest = changes.groupBy("employee_id").agg(F.max("valid_from").alias("latest"))
     present = people.join(latest, "employee_id", "left").select(
         "employee_id", "full_name", "email", "department", "role", "level",
@@ -168,7 +170,7 @@ def _versions_with_end(history: DataFrame, employees: DataFrame, domain: str) ->
         exprs.zero_if_null(experience, "int").alias("years_experience"),
         *[F.col(name) for name, present in own.items() if not present],
     )
-    past = changes.join(identity, "employee_id", "left").withColumns({
+    past = lookups.spread_join(changes, identity, ["employee_id"], "source_key").withColumns({
         "full_name": F.coalesce("full_name", F.lit("Staff Member")),
         "email": F.coalesce("email", F.lit(f"unknown@{domain}")),
         "region": F.coalesce("region", F.lit("Abu Dhabi")),
@@ -234,15 +236,14 @@ def transaction_rows(
     })
     # the calendar is one row per day between two literal dates
     calendar = F.broadcast(dim_date.select("date_key", F.col("full_date").alias("day")))
-    approvers = temporal.point_in_time(
-        transactions.select("approved_by", exprs.as_date(transactions, "transaction_date").alias("day")),
-        dim_employee, "approved_by", "day", "employee_id", "employee_key",
+    with_version = temporal.temporal_left_join(
+        rows, dim_employee, "approved_by", "day", "employee_id", "employee_key", spread_by="transaction_id"
     )
+    # the stored dimensions join by plain shuffles, which the adaptive skew join can split
     return (
-        rows.join(calendar, "day")
+        with_version.join(calendar, "day")
         .join(dim_project.select("project_id", "project_key"), "project_id")
         .join(dim_vendor.select("vendor_id", "vendor_key"), "vendor_id")
-        .join(approvers, ["approved_by", "day"], "left")
         .withColumn("employee_key", F.coalesce("employee_key", F.lit(unknown_key).cast("bigint")))
         .drop("day", "project_id", "vendor_id", "vendor_name", "transaction_date", "approved_by")
     )

@@ -38,8 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/spendlens/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/spendlens/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application once its results are saved."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
