@@ -11,6 +11,11 @@ from spendlens.session import materialize
 KEY_LIMIT = 10_000_000  # rows of one join key that a single task may stream
 
 
+def key_sizes(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored row count ``n`` of every key, null keys included; combined map-side."""
+    return materialize(facts.groupBy(*keys).agg(F.count("*").alias("n")), "key-sizes")
+
+
 def spread_join(
     facts: DataFrame,
     side: DataFrame,
@@ -18,17 +23,21 @@ def spread_join(
     spread_by: str,
     how: str = "left",
     limit: int = KEY_LIMIT,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Join a side that is unique on ``keys`` to facts that may be heavily skewed on them.
 
-    Rows per key (null included) are counted first. A key above ``limit`` rows is cut into
+    Rows per key are counted first, unless :func:`key_sizes` is passed in. A key above ``limit`` rows is cut into
     pieces by the hash of ``spread_by``, and its one row of ``side`` is copied to each piece.
     The adaptive skew join cannot do this when ``side`` comes out of a window or an aggregate.
     """
     keys = list(keys)
-    sizes = facts.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    if sizes is None:
+        sizes = facts.groupBy(*keys).agg(F.count("*").alias("n"))
     hot = materialize(
-        sizes.select(*[F.col(key).alias(f"_hot_{key}") for key in keys], F.ceil(F.col("n") / limit).alias("_pieces")),
+        sizes.where(F.col("n") > limit).select(
+            *[F.col(key).alias(f"_hot_{key}") for key in keys], F.ceil(F.col("n") / limit).alias("_pieces")
+        ),
         "hot-keys",
     )
     if hot.isEmpty():

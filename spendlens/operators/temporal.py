@@ -57,8 +57,10 @@ def temporal_left_join(
     limit: int = lookups.KEY_LIMIT,
 ) -> DataFrame:
     """Add the value valid on the row's day; null where no version covers it."""
-    found = point_in_time(facts, versions, key, day, version_key, value)
-    return lookups.spread_join(facts, found, [key, day], spread_by, limit=limit)
+    # one pass over the facts yields both the days to look up and the hot keys
+    sizes = lookups.key_sizes(facts, [key, day])
+    found = point_in_time(sizes, versions, key, day, version_key, value)
+    return lookups.spread_join(facts, found, [key, day], spread_by, limit=limit, sizes=sizes)
 
 
 def overlaps(
