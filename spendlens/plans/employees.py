@@ -15,6 +15,7 @@ FLAGS = (
     "dq_salary_outlier", "dq_status_conflict",
 )
 ROOT_MANAGER = "EMP0000"  # fixed value
+EARLIEST_HIRE = "1990-01-01"  # fixed value
 JUNIOR_SALARY_LIMIT = 50_000  # fixed value
 DEFAULT_DOMAIN = "example.com"
 
@@ -92,7 +93,7 @@ def fill_emails(
     return present.unionByName(materialize(filled.select(*df.columns), "filled-emails"))
 
 
-def employee_flags(df: DataFrame, as_of: Column, earliest: str = "1990-01-01") -> DataFrame:
+def employee_flags(df: DataFrame, as_of: Column, earliest: str = EARLIEST_HIRE) -> DataFrame:
     """Parsed hire date and experience next to the audit flags, before any repair."""
     parsed = exprs.as_date(df, "hire_date")
     experience = exprs.as_double(df, "years_experience")
@@ -125,12 +126,13 @@ def clean_employees(
     keep_flags: bool = False,
     id_fallback: bool = True,
     status_rules: tuple[str, ...] = (),
+    earliest: str = EARLIEST_HIRE,
 ) -> DataFrame:
     """The 12 canonical columns with emails, hire dates, experience, managers and salaries repaired.
 
     ``status_rules`` are boolean SQL expressions that mark a status conflict; none by default.
     """
-    flagged = employee_flags(df, _as_of(as_of))
+    flagged = employee_flags(df, _as_of(as_of), earliest)
     conflict = F.lit(False)
     for rule in status_rules:
         conflict |= exprs.flag(F.expr(rule))
@@ -155,9 +157,9 @@ def clean_employees(
     return unique.select(*CANONICAL_COLUMNS, *(FLAGS if keep_flags else ()))
 
 
-def employee_issues(df: DataFrame, as_of: str | None = None) -> DataFrame:
+def employee_issues(df: DataFrame, as_of: str | None = None, earliest: str = EARLIEST_HIRE) -> DataFrame:
     """(issue, row_count) for the seven repairs of :func:`clean_employees`."""
-    flagged = employee_flags(df, _as_of(as_of))
+    flagged = employee_flags(df, _as_of(as_of), earliest)
     extra_ids = (
         df.groupBy("employee_id").agg((F.count("*") - 1).alias("extra"))
         .agg(exprs.zero_if_null(F.sum("extra"), "bigint").alias("extra"))

@@ -91,13 +91,14 @@ def run_etl(
         "transactions": transactions.enrich_transactions(raw["transactions"], clean_projects, clean_employees),
     }
     metrics = []
+    raw_rows = {name: df.count() for name, df in raw.items()}
     for name, df in clean.items():
         counted, rows = _counted(df)
         path = f"{out_dir}/{name}_clean"
         writers.write_csv(counted, path)
         writers.verify_output(spark, path, "csv")
         metrics += [
-            (name, "extract", "rows", raw[name].count()),
+            (name, "extract", "rows", raw_rows[name]),
             (name, "load", "rows", rows.get["rows"]),
         ]
     metrics += [
@@ -105,7 +106,10 @@ def run_etl(
         ("all", "run", "seconds", time.perf_counter() - started),
     ]
     frame = metrics_frame(spark, run_id, metrics)
-    writers.write_lines(spark, report_lines(frame), f"{out_dir}/report_{run_id}")
+    issues = issue_report_lines(
+        employees.employee_issues(raw["employees"], as_of), raw_rows["projects"], raw_rows["employees"]
+    )
+    writers.write_lines(spark, [*report_lines(frame), *issues], f"{out_dir}/report_{run_id}")
     return frame
 
 

@@ -19,6 +19,11 @@ def critical_escalations(events: DataFrame) -> DataFrame:
     return events.where(is_critical())
 
 
+def stamp_produced(events: DataFrame) -> DataFrame:
+    """Add the time at which an event is handed to the stream."""
+    return events.withColumn("produced_at", F.current_timestamp())
+
+
 def running_counts(events: DataFrame) -> DataFrame:
     """Per event type: messages, critical escalations, first and last production time.
 

@@ -134,6 +134,13 @@ def test_csv_round_trip_keeps_blanks_and_quotes(spark, tmp_path):
     assert readers.read_projects(spark, f"{tmp_path}/p").collect() == df.collect()
 
 
+def test_csv_columns_are_found_by_name_and_null_texts_are_missing(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("status,extra,project_id,budget\nNA,1,P1,10\nnan,2,P2,\nNaNny,3,None,5\n")
+    df = readers.read_projects(spark, str(tmp_path))
+    assert df.columns == ["project_id", "status", "budget"]
+    assert [tuple(r) for r in df.collect()] == [("P1", None, "10"), ("P2", None, None), (None, "NaNny", "5")]
+
+
 def test_etl_stops_at_the_gate_and_reports(spark, tmp_path):
     def run(name, **change):
         base = tmp_path / name
@@ -149,6 +156,7 @@ def test_etl_stops_at_the_gate_and_reports(spark, tmp_path):
     assert rows == {(d, s): n for d, n in (("projects", 1), ("employees", 2), ("transactions", 2)) for s in ("extract", "load")}
     report = [r.value for r in spark.read.text(f"{tmp_path}/good/out/report_r1").collect()]
     assert "Data quality gate: PASSED" in report and "employees: 2 raw rows, 2 clean rows, delta +0" in report
+    assert "  - missing_emails: 1 rows fixed" in report
 
 
 def test_profile(spark):
