@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from oracle_queries import ORACLES
 from spendlens import schemas
 from spendlens.functions import exprs

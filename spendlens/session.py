@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,15 +31,19 @@ def build_session(app_name: str = "spendlens", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+@cache
+def _local_dir(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="spendlens-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="spendlens-")
-        spark.conf.set(CHECKPOINT_CONF, configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -208,6 +208,13 @@ def test_retention(spark):
     assert [r.retention_state for r in states.orderBy("transaction_date").collect()] == ["keep", "expire", "archive", "keep"]
 
 
-def test_scratch_can_be_dropped(spark):
+def test_scratch_folder(spark, monkeypatch):
+    assert session.materialize(spark.range(3), "x").count() == 3
+    assert session.scratch_root(spark).startswith(spark.conf.get(session.CHECKPOINT_CONF))
+    # without the setting a local session gets a folder of its own, which can be dropped
+    monkeypatch.setattr(session, "CHECKPOINT_CONF", "spark.checkpoint.unset")
     kept = session.materialize(spark.range(3), "x")
-    assert kept.count() == 3 and session.scratch_root(spark).startswith(session.shared_dir(spark))
+    assert kept.count() == 3
+    session.drop_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|FILE_NOT_EXIST|not exist"):
+        kept.count()
