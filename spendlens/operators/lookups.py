@@ -9,6 +9,7 @@ from spendlens.operators.dedup import keep_first
 from spendlens.session import materialize
 
 KEY_LIMIT = 10_000_000  # rows of one join key that a single task may stream
+BROADCAST_ROWS = 100_000  # largest side that is sent to every executor
 
 
 def key_sizes(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -24,15 +25,19 @@ def spread_join(
     how: str = "left",
     limit: int = KEY_LIMIT,
     sizes: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join a side that is unique on ``keys`` to facts that may be heavily skewed on them.
 
-    Rows per key are counted first, unless :func:`key_sizes` is passed in. A key above ``limit`` rows is cut into
+    A side of at most ``broadcast_rows`` rows is counted and broadcast. Otherwise the rows per
+    key are counted, unless :func:`key_sizes` is passed in. A key above ``limit`` rows is cut into
     pieces by the hash of ``spread_by``, and its one row of ``side`` is copied to each piece.
     The adaptive skew join cannot do this when ``side`` comes out of a window or an aggregate.
     """
     keys = list(keys)
     if sizes is None:
+        if broadcast_rows and side.count() <= broadcast_rows:
+            return facts.join(F.broadcast(side), keys, how)
         sizes = facts.groupBy(*keys).agg(F.count("*").alias("n"))
     hot = materialize(
         sizes.where(F.col("n") > limit).select(
@@ -64,6 +69,7 @@ def left_lookup(
     columns: Mapping[str, str],
     spread_by: str,
     limit: int = KEY_LIMIT,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add columns of ``dim`` to ``facts`` without changing the number of rows.
 
@@ -74,7 +80,7 @@ def left_lookup(
     side = unique.select(
         F.col(dim_key).alias(fact_key), *[F.col(old).alias(new) for old, new in columns.items()]
     )
-    joined = spread_join(facts, side, [fact_key], spread_by, limit=limit)
+    joined = spread_join(facts, side, [fact_key], spread_by, limit=limit, broadcast_rows=broadcast_rows)
     return joined.select(*facts.columns, *columns.values())
 
 

@@ -100,11 +100,11 @@ def test_insert_if_absent(spark):
     assert sorted(map(tuple, dedup.insert_if_absent(old, new, ["k"]).collect())) == [(1, "old"), (2, "a")]
 
 
-@pytest.mark.parametrize("limit", [3, 1000])
-def test_left_lookup_keeps_the_row_count(spark, limit):
+@pytest.mark.parametrize("limit, broadcast_rows", [(3, 0), (1000, 0), (3, 100)])
+def test_left_lookup_keeps_the_row_count(spark, limit, broadcast_rows):
     facts = spark.createDataFrame([(i, None if i % 3 == 0 else f"d{i % 4}") for i in range(60)], "id long, d string")
     dim = spark.createDataFrame([("d1", "one"), ("d1", "uno"), ("d2", "two"), (None, "none")], "d string, name string")
-    got = lookups.left_lookup(facts, dim, "d", "d", {"name": "label"}, "id", limit)
+    got = lookups.left_lookup(facts, dim, "d", "d", {"name": "label"}, "id", limit, broadcast_rows)
     assert got.columns == ["id", "d", "label"] and got.count() == 60
     assert {(r.d, r.label) for r in got.collect()} == {(None, None), ("d0", None), ("d1", "one"), ("d2", "two"), ("d3", None)}
 
@@ -114,7 +114,7 @@ def test_spread_join_divides_hot_and_missing_keys(spark):
     side = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        got = lookups.spread_join(facts, side, ["k"], "id", limit=100)
+        got = lookups.spread_join(facts, side, ["k"], "id", limit=100, broadcast_rows=0)
         per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
