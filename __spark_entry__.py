@@ -428,17 +428,30 @@ _QUERIES: dict[str, Query] = {
 }
 
 
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data operators and their pipeline, where these are installed."""
+    try:
+        import corpus_pipeline
+        from spendlens.llm import queries as operators
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "spendlens.llm"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**operators.QUERIES, "pipeline": corpus_pipeline.run}, {**operators.ORACLES, **sql}
+
+
 def queries() -> dict[str, Query]:
     """One entry per implemented query or operator; each takes (spark, sf_dir)."""
     def plain(query: Query) -> Query:
         return lambda spark, sf_dir: _plain(query(spark, sf_dir))
 
-    return {name: plain(query) for name, query in _QUERIES.items()}
+    return {name: plain(query) for name, query in _QUERIES.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same results as SQL over the test tables; none where the result is random."""
-    return dict(ORACLES)
+    """The same results as SQL over the test tables, where SQL can express them."""
+    return ORACLES | _training_data()[1]
 
 
 def entry(spark: SparkSession) -> DataFrame:

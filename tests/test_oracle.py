@@ -19,11 +19,11 @@ def oracle():
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == WITHOUT_ORACLE
+    assert set(registry._QUERIES) - set(registry.ORACLES) == WITHOUT_ORACLE
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query_matches_sql(spark, oracle, name):
     columns, rows = compare.spark_rows(registry.queries()[name](spark, SF_DIR))
     expected_columns, expected = compare.oracle_rows(oracle, registry.oracle_sql()[name])
