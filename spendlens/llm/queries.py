@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import simhash
+from spendlens.llm import positional, simhash
 
 QUERIES = {
     "op7_simhash_near_dedup": simhash.op7,
+    "op8_benchmark_decontamination": positional.op8,
 }
 
 ORACLES: dict[str, str] = {}
