@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import positional, simhash
+from spendlens.llm import positional, simhash, wordtable
 
 QUERIES = {
     "op7_simhash_near_dedup": simhash.op7,
     "op8_benchmark_decontamination": positional.op8,
+    "op9_bpe_word_table": wordtable.op9,
 }
 
 ORACLES: dict[str, str] = {}
