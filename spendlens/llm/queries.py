@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import langid, positional, simhash, wordtable
+from spendlens.llm import langid, pii, positional, simhash, wordtable
 
 QUERIES = {
     "op3_nearest_centroid_language": langid.op3,
+    "op4_pii_deobfuscation": pii.op4,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_benchmark_decontamination": positional.op8,
     "op9_bpe_word_table": wordtable.op9,
