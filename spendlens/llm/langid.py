@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from spendlens.llm.common import in_fold, table
@@ -170,23 +171,40 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return Model(idf, [r["lang"] for r in learned], np.array([r["centroid"] for r in learned], np.float32), floors)
 
 
+def _predictions(column: pa.Array, model: Model | None) -> list[pa.Array]:
+    langs, scores, rejected = [], [], []
+    for _, data, offsets in _runs(column):
+        n = len(offsets) - 1
+        own, score, far = model.predict(counts(data, offsets)) if model else (["und"] * n, np.zeros(n), np.ones(n, bool))
+        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
+            if not _has_letter(data[a:b]):
+                own[i], score[i], far[i] = "und", 0, True
+        langs += own
+        scores += score.tolist()
+        rejected += far.tolist()
+    return [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
+
+
+def recognised(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The documents that are not rejected, all columns as they are."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rejected = _predictions(batch.column(at), shared.value)[2]
+            yield batch.filter(pc.invert(rejected))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score, rejected) for every document row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            langs, scores, rejected = [], [], []
-            for first, data, offsets in _runs(batch.column(1)):
-                found = counts(data, offsets)
-                own, score, far = model.predict(found) if model else (["und"] * len(found), np.zeros(len(found)), np.ones(len(found), bool))
-                for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
-                    if not _has_letter(data[a:b]):
-                        own[i], score[i], far[i] = "und", 0, True
-                langs, scores, rejected = langs + own, [*scores, *score.tolist()], [*rejected, *far.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+                [batch.column(0), *_predictions(batch.column(1), shared.value)],
                 names=["key", "lang_pred", "score", "rejected"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -1,40 +1,68 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns what stays of the documents.
 
-All columns of ``docs`` come back, in their order, whatever their names; rows with equal keys share a decision
-only where the operator's result is the same for all of them.
+All columns of ``docs`` come back, in their order. Decisions are taken per row: rows of equal or null doc_id are
+told apart by their texts, and rows equal in both share a decision.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendlens.llm import simhash
+from spendlens.llm import langid, pii, positional, simhash, wordtable
+from spendlens.llm.common import in_fold, table
 
 
-def _kept(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    return docs.join(keys.select(F.col("key").alias("doc_id")).distinct(), "doc_id", "left_semi").select(docs.columns)
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a column that stands for doc_id and text."""
+    mark = _unused(docs, "_mark")
+    return docs.withColumn(mark, F.xxhash64("doc_id", "text")), mark
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language stay; the classifier learns from the same fold as its query."""
+    learned = docs.where(~in_fold("doc_id", 4, 2))
+    return langid.recognised(docs, langid.fit(learned))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id.
 
-    Of rows that share this doc_id one stays. Documents without a doc_id take part in no group of others
-    and stay.
+    A missing doc_id comes after all others. Of rows equal in doc_id and text one stays.
     """
-    found = simhash.near_duplicates(docs.where("doc_id IS NOT NULL"))
-    unkeyed = docs.where("doc_id IS NULL")
-    return _kept(docs, found.where("key = component")).dropDuplicates(["doc_id"]).unionByName(unkeyed)
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    marked, mark = _marked(docs)
+    name = _unused(marked, "_name")
+    marked = marked.withColumn(name, F.struct(
+        F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(mark).alias("mark")))
+    found = simhash.near_duplicates(marked, name)
+    first = found.where("key <=> component").select(F.col("key.mark").alias(mark)).distinct()
+    return marked.join(first, mark, "left_semi").dropDuplicates([mark]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that hold a window of a benchmark item go."""
+    marked, mark = _marked(docs)
+    found = positional.contamination(marked, table(spark, sf_dir, "benchmark"), mark)
+    hit = found.where(F.size("matches") > 0).select(F.col("key").alias(mark)).distinct()
+    return marked.join(hit, mark, "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Identifiers give way to their kind in brackets; n_chars follows the new text. Every document stays."""
+    return pii.mask(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Adds ids and n_tokens; the text is what the ids decode to, and empty where it was null.
+
+    A column of the documents with one of these two names gives way.
+    """
+    others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
+    rows = docs.select(F.struct(*others).alias("key"), "text")
+    encoded = wordtable.encode(rows, "key").select(F.struct("key", "ids").alias("key"), "ids")
+    decoded = wordtable.decode(encoded)
+    columns = [F.col("text") if c == "text" else F.col(f"key.key.`{c}`") for c in docs.columns if c not in ("ids", "n_tokens")]
+    return decoded.select(*columns, F.col("key.ids").alias("ids"), F.size("key.ids").cast("long").alias("n_tokens"))
