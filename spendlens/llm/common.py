@@ -1,5 +1,7 @@
 """Tables, stored intermediate results and connected components for the operators of this subpackage."""
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendlens.session import fresh_path
@@ -17,6 +19,12 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries whose results are stored: it does so once they are garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def in_fold(key: F.Column | str, modulus: int, remainder: int) -> F.Column:
     """Whether crc32 of the key as text leaves this remainder; a null key counts as empty text."""
     key = F.col(key) if isinstance(key, str) else key

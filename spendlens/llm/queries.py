@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import langid, pii, positional, simhash, wordtable
+from spendlens.llm import langid, pii, positional, simhash, suffixes, wordtable
 
 QUERIES = {
     "op3_nearest_centroid_language": langid.op3,
@@ -8,6 +8,7 @@ QUERIES = {
     "op7_simhash_near_dedup": simhash.op7,
     "op8_benchmark_decontamination": positional.op8,
     "op9_bpe_word_table": wordtable.op9,
+    "op10_suffix_dedup": suffixes.op10,
 }
 
 ORACLES: dict[str, str] = {}
