@@ -8,7 +8,8 @@ whatever the number of blocks that hold it, and the ids go back to the blocks, w
 words' places. Decoding takes each id's piece from the vocabulary, which has a fixed size and goes to all tasks.
 
 A pack holds the words that one block sends to one owner, so there are never more packs than distinct words
-of blocks; owners grow in number with the input, which bounds what one of them gets. Null texts are empty and
+of blocks; owners grow in number with the input, which bounds what one of them gets. A lost executor's blocks are made anew: the documents should be a stored table,
+which every attempt reads in the same order. Null texts are empty and
 have no ids. Rows are treated one by one, so keys may be null or repeat.
 """
 
@@ -20,13 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from spendlens.llm.common import store, table
+from spendlens.llm.common import table
 from spendlens.llm.kernels import ranges
 
 BLOCK = 16 << 20  # characters of text in a block
@@ -117,25 +119,38 @@ class _Block:
     def rows(self, number: int, owners: int) -> Iterator[pa.RecordBatch]:
         if not self.codes:
             return
-        owner = np.array([xxhash.xxh64_intdigest(w.encode()) % owners for w in self.words], np.int32)
-        order = np.argsort(owner, kind="stable")
+        owner = np.array([xxhash.xxh64_intdigest(w.encode()) % owners for w in self.words], np.int64)
+        codes = np.concatenate(self.codes)
+        # frequent words get small numbers, which pack well
+        order = np.argsort(-np.bincount(codes, minlength=len(owner)), kind="stable")
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
-        lengths = list(map(len, self.codes))
-        codes = np.concatenate(self.codes)
-        packed = zstandard.compress(_planes(place[codes] if len(codes) else codes), 3)
-        held, starts = np.unique(owner[order], return_index=True)
-        words = pa.array([self.words[i] for i in order.tolist()], pa.string())
-        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(words)).astype(np.int32)), words)
-        n = len(held)
-        keys = pa.concat_arrays(self.keys)
+        owner = owner[order]
+        dealt = np.argsort(owner, kind="stable")
+        held, starts = np.unique(owner[dealt], return_index=True)
+        packs = [_pack_words([self.words[i] for i in own.tolist()]) for own in np.split(order[dealt], starts[1:]) if len(own)]
+        keys, n = pa.concat_arrays(self.keys), len(held)
         one = lambda x, kind: pa.array([x, *[None] * n], kind)
         own = pa.ListArray.from_arrays(pa.array([0, len(keys), *[len(keys)] * n], pa.int32()), keys)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([number] * (n + 1), pa.int64()), pa.array([-1, *held.tolist()], pa.int32()), own,
-             one(lengths, pa.list_(pa.int32())), one(packed, pa.binary()),
-             pa.concat_arrays([pa.array([None], lists.type), lists])],
-            names=["block", "owner", "keys", "lengths", "codes", "words"])
+            [pa.array([number, *(-1 - held).tolist()], pa.int64()), pa.array([number] * (n + 1), pa.int64()),
+             pa.array([-1, *held.tolist()], pa.int32()), own,
+             one(list(map(len, self.codes)), pa.list_(pa.int32())),
+             one(zstandard.compress(_planes(place[codes] if len(codes) else codes), 3), pa.binary()),
+             one(_small(owner), pa.binary()), pa.array([None, *packs], pa.binary())],
+            names=["to", "block", "owner", "keys", "lengths", "codes", "owners", "words"])
+
+
+def _pack_words(words: list[str]) -> bytes:
+    lengths = _small(np.fromiter(map(len, words), np.int64, len(words)))
+    return len(lengths).to_bytes(4, "little") + lengths + zstandard.compress("".join(words).encode(), 3)
+
+
+def _unpack_words(pack: bytes) -> list[str]:
+    size = int.from_bytes(pack[:4], "little")
+    ends = np.cumsum(_wide(pack[4:4 + size])).tolist()
+    text = zstandard.decompress(pack[4 + size:]).decode()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _planes(codes: np.ndarray) -> bytes:
@@ -149,7 +164,10 @@ def _codes(packed: bytes) -> np.ndarray:
 
 
 def split(docs: DataFrame, key: str, text: str, owners: int, block: int) -> DataFrame:
-    """One row per block with its texts (owner -1), and one per pack of words for an owner."""
+    """One row per block with its texts (owner -1), and one per pack of words for an owner.
+
+    ``to`` is the block itself, or a negative number for the owner.
+    """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType
 
@@ -169,67 +187,72 @@ def split(docs: DataFrame, key: str, text: str, owners: int, block: int) -> Data
         yield from current.rows(number, owners)
 
     schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("owner", T.IntegerType()),
+        T.StructField("to", T.LongType()), T.StructField("block", T.LongType()), T.StructField("owner", T.IntegerType()),
         T.StructField("keys", T.ArrayType(kind)), T.StructField("lengths", T.ArrayType(T.IntegerType())),
-        T.StructField("codes", T.BinaryType()), T.StructField("words", T.ArrayType(T.StringType()))])
+        T.StructField("codes", T.BinaryType()), T.StructField("owners", T.BinaryType()), T.StructField("words", T.BinaryType())])
     return rows.mapInArrow(run, schema)
 
 
 def _small(values: np.ndarray) -> bytes:
     kind = next(k for k in ("<u1", "<u2", "<u4") if not len(values) or values.max() <= np.iinfo(k).max)
-    return kind[-1:].encode() + values.astype(kind).tobytes()
+    return kind[-1:].encode() + zstandard.compress(values.astype(kind).tobytes(), 3)
 
 
 def _wide(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, f"<u{packed[:1].decode()}", offset=1).astype(np.int64)
+    return np.frombuffer(zstandard.decompress(packed[1:]), f"<u{packed[:1].decode()}").astype(np.int64)
 
 
 def _encode_words(model) -> "callable":
     def run(packs: pa.Table) -> pa.Table:
+        packs = packs.filter(pc.greater_equal(packs["owner"], 0))
         numbers: dict[str, int] = {}
-        lists = packs["words"].combine_chunks()
-        codes = [numbers.setdefault(w, len(numbers)) for w in lists.flatten().to_pylist()]
+        codes, edges = [], [0]
+        for pack in packs["words"].to_pylist():
+            codes += [numbers.setdefault(w, len(numbers)) for w in _unpack_words(pack)]
+            edges.append(len(codes))
         tokenizer, words, ids = load(model.value), list(numbers), []
         for at in range(0, len(words), 10_000):
             ids += [np.array(x.ids, np.int64) for x in tokenizer.encode_batch(words[at:at + 10_000], add_special_tokens=False)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.concatenate([np.zeros(0, np.int64), *ids])
         starts, codes = np.cumsum(sizes) - sizes, np.array(codes, np.int64)
-        edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         lengths, all_ids = [], []
         for a, b in zip(edges[:-1], edges[1:]):
             own = codes[a:b]
             lengths.append(_small(sizes[own]))
             all_ids.append(_small(flat[ranges(starts[own], sizes[own])]))
-        return pa.table({"block": packs["block"], "owner": packs["owner"], "sizes": pa.array(lengths, pa.binary()),
+        return pa.table({"to": packs["block"], "owner": packs["owner"], "sizes": pa.array(lengths, pa.binary()),
                          "ids": pa.array(all_ids, pa.binary())})
 
     return run
 
 
-def _put_in_place(kind: pa.DataType):
+def _put_in_place(texts: pa.Table, packs: pa.Table) -> pa.Table:
     names = ["key", "ids"]
-
-    def run(texts: pa.Table, packs: pa.Table) -> pa.Table:
-        packs = packs.sort_by("owner")
-        nothing = np.zeros(0, np.int64)
-        sizes = np.concatenate([nothing, *[_wide(x) for x in packs["sizes"].to_pylist()]])
-        flat = np.concatenate([nothing, *[_wide(x) for x in packs["ids"].to_pylist()]]).astype(np.int32)
-        starts = np.cumsum(sizes) - sizes
-        keys = texts["keys"].combine_chunks().flatten()
-        lengths = texts["lengths"].combine_chunks().flatten().to_numpy()
-        codes, edges = _codes(texts["codes"][0].as_py()), np.concatenate([[0], np.cumsum(lengths)])
-        out, row = [], 0
-        while row < len(keys):
-            last = max(row + 1, int(np.searchsorted(edges, edges[row] + _IDS // 4, "right")) - 1)
-            own = codes[edges[row]:edges[last]]
-            ids = flat[ranges(starts[own], sizes[own])]
-            cuts = np.concatenate([[0], np.cumsum(sizes[own])])[edges[row:last + 1] - edges[row]]
-            out.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids)))
-            row = last
-        return pa.table([keys, pa.chunked_array(out, pa.list_(pa.int32()))], names=names)
-
-    return run
+    texts = texts.filter(pc.equal(texts["owner"], -1))
+    if not len(texts):
+        return pa.table([pa.array([], texts.schema.field("keys").type.value_type), pa.array([], pa.list_(pa.int32()))], names=names)
+    packs = packs.sort_by("owner")
+    nothing = np.zeros(0, np.int64)
+    sizes = np.concatenate([nothing, *[_wide(x) for x in packs["sizes"].to_pylist()]])
+    flat = np.concatenate([nothing, *[_wide(x) for x in packs["ids"].to_pylist()]]).astype(np.int32)
+    # the packs hold the words by owner; texts number them by frequency
+    order = np.argsort(_wide(texts["owners"][0].as_py()), kind="stable")
+    starts = np.empty_like(sizes)
+    starts[order] = np.cumsum(sizes) - sizes
+    sizes[order] = sizes.copy()
+    keys = texts["keys"].combine_chunks().flatten()
+    lengths = texts["lengths"].combine_chunks().flatten().to_numpy()
+    codes, edges = _codes(texts["codes"][0].as_py()), np.concatenate([[0], np.cumsum(lengths)])
+    out, row = [], 0
+    while row < len(keys):
+        last = max(row + 1, int(np.searchsorted(edges, edges[row] + _IDS // 4, "right")) - 1)
+        own = codes[edges[row]:edges[last]]
+        ids = flat[ranges(starts[own], sizes[own])]
+        cuts = np.concatenate([[0], np.cumsum(sizes[own])])[edges[row:last + 1] - edges[row]]
+        out.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids)))
+        row = last
+    return pa.table([keys, pa.chunked_array(out, pa.list_(pa.int32()))], names=names)
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None,
@@ -238,13 +261,11 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(model or vocabulary())
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    found = store(split(docs, key, text, owners, block), "blocks")
-    kind = found.schema["keys"].dataType.elementType.simpleString()
-    packs = found.where("owner >= 0").select("block", "owner", "words")
-    packs = packs.groupBy("owner").applyInArrow(_encode_words(model), "block long, owner int, sizes binary, ids binary")
-    texts = found.where("owner = -1").select("block", "keys", "lengths", "codes")
-    return texts.groupBy("block").cogroup(packs.groupBy("block")).applyInArrow(
-        _put_in_place(kind), f"key {kind}, ids array<int>")
+    # one exchange takes texts to their blocks' place and words to their owners; both sides below read it
+    dealt = split(docs, key, text, owners, block).repartition("to")
+    kind = dealt.schema["keys"].dataType.elementType.simpleString()
+    packs = dealt.groupBy("to").applyInArrow(_encode_words(model), "to long, owner int, sizes binary, ids binary")
+    return dealt.groupBy("to").cogroup(packs.groupBy("to")).applyInArrow(_put_in_place, f"key {kind}, ids array<int>")
 
 
 def _taken(values: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
