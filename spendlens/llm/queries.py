@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import langid, pii, positional, simhash, suffixes, wordtable
+from spendlens.llm import langid, pii, positional, simhash, suffixes, topk, wordtable
 
 QUERIES = {
+    "op1_exact_top_k": topk.op1,
     "op3_nearest_centroid_language": langid.op3,
     "op4_pii_deobfuscation": pii.op4,
     "op7_simhash_near_dedup": simhash.op7,
@@ -11,4 +12,4 @@ QUERIES = {
     "op10_suffix_dedup": suffixes.op10,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_exact_top_k": topk.SQL}
