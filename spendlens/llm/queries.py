@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import langid, pii, positional, simhash, suffixes, topk, toxicity, wordtable
+from spendlens.llm import langid, pii, positional, secrets, simhash, suffixes, topk, toxicity, wordtable
 
 QUERIES = {
     "op1_exact_top_k": topk.op1,
     "op3_nearest_centroid_language": langid.op3,
     "op4_pii_deobfuscation": pii.op4,
     "op5_nearest_toxic_examples": toxicity.op5,
+    "op6_secret_forest": secrets.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_benchmark_decontamination": positional.op8,
     "op9_bpe_word_table": wordtable.op9,
