@@ -1,9 +1,10 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import langid, pii, positional, secrets, simhash, suffixes, topk, toxicity, wordtable
+from spendlens.llm import langid, pii, positional, secrets, simhash, suffixes, suffixtree, topk, toxicity, wordtable
 
 QUERIES = {
     "op1_exact_top_k": topk.op1,
+    "op2_suffix_tree_scores": suffixtree.op2,
     "op3_nearest_centroid_language": langid.op3,
     "op4_pii_deobfuscation": pii.op4,
     "op5_nearest_toxic_examples": toxicity.op5,
