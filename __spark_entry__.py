@@ -101,7 +101,7 @@ def _fact_asof_employee(spark: SparkSession, d: str) -> DataFrame:
     return temporal.temporal_left_join(
         binding.transactions(spark, d).select("transaction_id", "approved_by", "transaction_date"),
         binding.warehouse(spark, d).dim_employee,
-        "approved_by", "transaction_date", "employee_id", "employee_key", spread_by="transaction_id",
+        "approved_by", "transaction_date", "employee_id", "employee_key",
     )
 
 
@@ -129,6 +129,16 @@ def _csv_projects(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_projects(spark, path)
 
 
+def _csv_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """Files with columns in another order, and without one of them, are read by name."""
+    path = fresh_path(spark, "csv-layouts")
+    rows = binding.projects(spark, d)
+    even = F.col("project_id").cast("bigint") % 2 == 0
+    writers.write_csv(rows.where(even), f"{path}/a")
+    writers.write_csv(rows.where(~even).select(*[c for c in reversed(rows.columns) if c != "region"]), f"{path}/b")
+    return readers.read_projects(spark, f"{path}/*")
+
+
 def _json_transactions(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "json")
     binding.transactions(spark, d).write.json(path)
@@ -216,6 +226,15 @@ def _dq_extended(spark: SparkSession, d: str) -> DataFrame:
     return _verdicts(on_transactions.unionByName(on_employees))
 
 
+def _dq_missing_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Every check on a column that is not there, in the table or in the parent, fails for all rows."""
+    gone = ["amount", "payment_status", "transaction_date"]
+    rules = quality.RULES["transactions"] | {k: v for k, v in EXTENDED_RULES.items() if k != "consistency_rules"}
+    context = {"projects": binding.projects(spark, d).drop("project_id"), "employees": binding.employees(spark, d)}
+    found = quality.run_suite("transactions", binding.transactions(spark, d).drop(*gone), rules, context)
+    return found.where(F.col("details").contains("missing from")).select("check", "passed", "failed_rows")
+
+
 def _dq_summary(spark: SparkSession, d: str) -> DataFrame:
     return quality.summary(quality.run_all(_tables(spark, d)))
 
@@ -282,9 +301,17 @@ def _stream_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stream_clean_events(spark: SparkSession, d: str) -> DataFrame:
+    """Files of JSON lines played back one per batch, the latest events first and redelivered ones last."""
     path = fresh_path(spark, "stream-clean")
-    rows = event_stream.clean_stream(_event_stream(spark, d)).select("event_id", "event_type", "project_id", "user_id")
-    event_stream.start_file_sink(rows, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    rows = binding.events(spark, d)
+    first = dedup.keep_first(rows, ["event_id"], ["timestamp"])
+    again = rows.join(first.select("event_id", "timestamp"), ["event_id", "timestamp"], "left_anti")
+    late = F.coalesce(F.month("timestamp") > 6, F.lit(False))
+    for part in (first.where(late), first.where(~late), again):
+        part.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{path}/in")
+    stream = readers.stream_jsonl(spark, f"{path}/in", schemas.EVENTS, max_files_per_trigger=1)
+    cleaned = event_stream.clean_stream(stream).withColumn("severity", F.col("payload")["severity"]).drop("payload")
+    event_stream.start_file_sink(cleaned, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
 
@@ -302,6 +329,32 @@ def _persona(dataset: str, persona: str) -> Query:
     return lambda spark, d: governance.persona_view(_tables(spark, d)[dataset], dataset, persona)
 
 
+def _project_manager(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions of one project manager's own projects, as that persona sees them."""
+    tables = _tables(spark, d)
+    seen = governance.persona_view(
+        tables["transactions"], "transactions", "project_manager", person="1", projects=tables["projects"])
+    return seen.select("transaction_id", "project_id", "payment_status")
+
+
+def _perturbed_check(spark: SparkSession, d: str) -> DataFrame:
+    """Synthetic ids stay distinct and salaries within the limit."""
+    people = binding.employees(spark, d).withColumn("old", F.col("salary").cast("double"))
+    moved = governance.perturb_salaries(people)
+    return moved.agg(
+        F.count("*").alias("row_count"), F.count_distinct("employee_id").alias("distinct_ids"),
+        F.count_if(F.abs(F.col("salary") - F.col("old")) <= F.abs(F.col("old")) * 0.1 + 0.01).alias("within_limit"))
+
+
+def _employment_retention(spark: SparkSession, d: str) -> DataFrame:
+    """Salary records by state, every third person taken to have left."""
+    people, history = binding.employees(spark, d), binding.history(spark, d)
+    left = F.when(F.col("employee_id").cast("bigint") % 3 == 0, "Terminated").otherwise("Active")
+    dated = governance.with_employment_end(history, people.withColumn("status", left), history)
+    column, years = governance.RETENTION_YEARS["employees_salary_history"]
+    return governance.retention(dated, column, years, "2009-01-01").groupBy("retention_state").agg(F.count("*").alias("row_count"))
+
+
 def _own_transactions(spark: SparkSession, d: str) -> DataFrame:
     """What each project manager's own projects spend, by payment status."""
     mine = binding.projects(spark, d).select("project_id", "project_manager_id")
@@ -366,6 +419,7 @@ _QUERIES: dict[str, Query] = {
     "q5_monthly_spend": _star(lambda w: business.monthly_spend_trend(w.fact_transactions, w.dim_date)),
     "q6_salary_increases": _star(lambda w: business.largest_salary_increases(w.dim_employee)),
     "salary_changes": _star(lambda w: business.salary_changes(w.dim_employee)),
+    "salary_changes_gapped": _star(lambda w: business.salary_changes(w.dim_employee.where("employee_key % 3 <> 1"))),
     "pending_naive": _star(lambda w: business.pending_above_average_naive(
         w.fact_transactions, w.dim_project, w.dim_employee)),
     "pending_above_avg": _star(lambda w: business.pending_above_average(
@@ -392,6 +446,7 @@ _QUERIES: dict[str, Query] = {
     "dq_extended": _dq_extended,
     "dq_summary": _dq_summary,
     "dq_gate": _gate,
+    "dq_missing_columns": _dq_missing_columns,
     "fk_orphans": _project_orphans,
     "duplicate_keys": _duplicate_lines,
     "null_counts": _null_counts,
@@ -401,6 +456,7 @@ _QUERIES: dict[str, Query] = {
     "insert_if_absent": _insert_if_absent,
     "table_contract": _table_contract,
     "csv_projects": _csv_projects,
+    "csv_layouts": _csv_layouts,
     "json_transactions": _json_transactions,
     "jsonl_events": _jsonl_events,
     "partitioned_escalations": _partitioned_escalations,
@@ -422,6 +478,9 @@ _QUERIES: dict[str, Query] = {
     "persona_engineer": _persona("employees", "data_engineer"),
     "persona_aggregated": _persona("transactions", "bi_analyst"),
     "persona_own_projects": _own_transactions,
+    "persona_project_manager": _project_manager,
+    "perturbed_salary_check": _perturbed_check,
+    "employment_retention": _employment_retention,
     # complete runs
     "events_run": _events_run,
     "etl_run": _etl_run,

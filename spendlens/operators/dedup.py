@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 def tie_break(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
     """Order over the remaining columns, so that keeping one row of many is repeatable.
 
-    Maps have no order; rows that differ in nothing else are interchangeable.
+    Maps have no order; they are compared as sorted entries, and columns that hold maps inside as text.
     """
-    return [
-        F.col(field.name) for field in df.schema.fields
-        if field.name not in skip and not isinstance(field.dataType, T.MapType)
-    ]
+    def comparable(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.MapType):
+            return F.to_json(F.array_sort(F.map_entries(column)))
+        if "map<" in field.dataType.simpleString():
+            return F.to_json(F.struct(column))
+        return column
+
+    return [comparable(field) for field in df.schema.fields if field.name not in skip]
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -8,57 +8,14 @@ from spendlens.functions import exprs
 from spendlens.operators.dedup import keep_first
 from spendlens.session import materialize
 
-KEY_LIMIT = 10_000_000  # rows of one join key that a single task may stream
-BROADCAST_ROWS = 100_000  # largest side that is sent to every executor
-
-
-def key_sizes(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored row count ``n`` of every key, null keys included; combined map-side."""
-    return materialize(facts.groupBy(*keys).agg(F.count("*").alias("n")), "key-sizes")
-
-
-def spread_join(
-    facts: DataFrame,
-    side: DataFrame,
-    keys: Sequence[str],
-    spread_by: str,
-    how: str = "left",
-    limit: int = KEY_LIMIT,
-    sizes: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def spread_join(facts: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a side that is unique on ``keys`` to facts that may be heavily skewed on them.
 
-    A side of at most ``broadcast_rows`` rows is counted and broadcast. Otherwise the rows per
-    key are counted, unless :func:`key_sizes` is passed in. A key above ``limit`` rows is cut into
-    pieces by the hash of ``spread_by``, and its one row of ``side`` is copied to each piece.
-    The adaptive skew join cannot do this when ``side`` comes out of a window or an aggregate.
+    The side is stored first, which gives it a known size in bytes: Spark broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``, and otherwise the adaptive skew join divides the rows of hot keys,
+    null keys included. It can not do so when the side comes straight out of a window or an aggregate.
     """
-    keys = list(keys)
-    if sizes is None:
-        if broadcast_rows and side.count() <= broadcast_rows:
-            return facts.join(F.broadcast(side), keys, how)
-        sizes = facts.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = materialize(
-        sizes.where(F.col("n") > limit).select(
-            *[F.col(key).alias(f"_hot_{key}") for key in keys], F.ceil(F.col("n") / limit).alias("_pieces")
-        ),
-        "hot-keys",
-    )
-    if hot.isEmpty():
-        return facts.join(side, keys, how)
-
-    def tagged(df: DataFrame) -> DataFrame:
-        same = F.lit(True)
-        for key in keys:
-            same &= df[key].eqNullSafe(hot[f"_hot_{key}"])
-        # at most (rows / limit) keys are hot
-        joined = df.join(F.broadcast(hot), same, "left")
-        return joined.select(*[df[name] for name in df.columns], F.coalesce("_pieces", F.lit(1)).alias("_pieces"))
-
-    pieces = tagged(facts).withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.col("_pieces"))).drop("_pieces")
-    copies = tagged(side).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1))).drop("_pieces")
-    return pieces.join(copies, [*keys, "_salt"], how).drop("_salt")
+    return facts.join(materialize(side, "join-side"), list(keys), how)
 
 
 def left_lookup(
@@ -67,20 +24,16 @@ def left_lookup(
     fact_key: str,
     dim_key: str,
     columns: Mapping[str, str],
-    spread_by: str,
-    limit: int = KEY_LIMIT,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add columns of ``dim`` to ``facts`` without changing the number of rows.
 
-    ``columns`` maps the dimension column to its name in the result; ``spread_by`` names a
-    column of ``facts`` with many values, by which the rows of a hot key are divided.
+    ``columns`` maps the dimension column to its name in the result.
     """
     unique = keep_first(dim.where(F.col(dim_key).isNotNull()).select(dim_key, *columns), [dim_key])
     side = unique.select(
         F.col(dim_key).alias(fact_key), *[F.col(old).alias(new) for old, new in columns.items()]
     )
-    joined = spread_join(facts, side, [fact_key], spread_by, limit=limit, broadcast_rows=broadcast_rows)
+    joined = spread_join(facts, side, [fact_key])
     return joined.select(*facts.columns, *columns.values())
 
 

@@ -1,9 +1,7 @@
 """Numbering, running totals and neighbours along an order, for groups of any size.
 
-A plain window puts a whole group into one task. ``cumulate`` and ``number_in_groups`` use one
-only after counting the rows of the largest group. Beyond that limit, and for numbers over the
-whole table, the rows are sorted across the cluster and written with their (task, position)
-pair: a range of the sort is one shuffle partition, however hot its key is, and only one carry
+A plain window puts a whole group into one task. Here the rows are sorted across the cluster
+instead and written with their (task, position) pair: a range of the sort is one shuffle partition, however hot its key is, and only one carry
 row per range has to travel between ranges.
 """
 
@@ -17,8 +15,6 @@ PLACE = "_place"  # task number in the upper bits, position within the task in t
 PART = "_part"
 POSITION = "_position"
 
-GROUP_LIMIT = 1_000_000  # rows of one group that a single task may sort
-
 
 def ordered(df: DataFrame, *order: str | Column) -> DataFrame:
     """Sort ``df`` globally and keep the order as the columns ``_part`` and ``_position``.
@@ -80,32 +76,14 @@ def running_total(rows: DataFrame, groups: Sequence[str], value: Column, name: s
     )
 
 
-def fits_one_task(df: DataFrame, groups: Sequence[str], limit: int) -> bool:
-    """Whether every group has at most ``limit`` rows; counts per key are combined map-side."""
-    if limit <= 0:
-        return False
-    largest = df.groupBy(*groups).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= limit
-
-
-def cumulate(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], value: Column, name: str, limit: int = GROUP_LIMIT
-) -> DataFrame:
+def cumulate(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
     """Sum of ``value`` per group along a total order, up to and including the row."""
-    if fits_one_task(df, groups, limit):
-        so_far = (
-            Window.partitionBy(*groups).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        return df.withColumn(name, F.sum(value).over(so_far))
     return without_order(running_total(ordered(df, *groups, *order), groups, value, name))
 
 
-def number_in_groups(
-    df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str, limit: int = GROUP_LIMIT
-) -> DataFrame:
+def number_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """``row_number`` per group along a total order."""
-    return cumulate(df, groups, order, F.lit(1).cast("bigint"), name, limit)
+    return cumulate(df, groups, order, F.lit(1).cast("bigint"), name)
 
 
 def following(rows: DataFrame, groups: Sequence[str], column: str, name: str) -> DataFrame:

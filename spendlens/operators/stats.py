@@ -34,24 +34,19 @@ def _same(left: str, right: str, groups: Sequence[str]) -> Column:
     return condition
 
 
-def exact_median(
-    df: DataFrame, value: str, groups: Sequence[str] = (), limit: int = ordering.GROUP_LIMIT
-) -> DataFrame:
+def exact_median(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Median per group as ``median`` (double), exact for any number of distinct values.
 
-    Values are counted per group before anything else. Up to ``limit`` distinct values a group's
-    counts fit the built-in aggregate; beyond, they are ranked by a distributed running count.
+    Values are counted per group before anything else, and the counts ranked by a distributed running count.
     """
     if not groups:
-        return exact_median(df.withColumn("_all", F.lit(0)), value, ["_all"], limit).drop("_all")
+        return exact_median(df.withColumn("_all", F.lit(0)), value, ["_all"]).drop("_all")
     groups = list(groups)
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*groups, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     )
-    if ordering.fits_one_task(counts, groups, limit):
-        return counts.groupBy(*groups).agg(F.percentile("_v", 0.5, F.col("_n")).alias("median"))
-    ranked = ordering.cumulate(counts, groups, ["_v"], F.col("_n"), "_upto", 0)
+    ranked = ordering.cumulate(counts, groups, ["_v"], F.col("_n"), "_upto")
     totals = materialize(ranked.groupBy(*groups).agg(F.max("_upto").alias("_total")), "totals")
     low = F.floor((F.col("_total") + 1) / 2)
     high = F.floor(F.col("_total") / 2) + 1

@@ -53,19 +53,12 @@ def temporal_left_join(
     day: str,
     version_key: str,
     value: str,
-    spread_by: str,
-    limit: int = lookups.KEY_LIMIT,
 ) -> DataFrame:
     """Add the value valid on the row's day; null where no version covers it."""
-    # one pass over the facts yields both the days to look up and the hot keys
-    sizes = lookups.key_sizes(facts, [key, day])
-    found = point_in_time(sizes, versions, key, day, version_key, value)
-    return lookups.spread_join(facts, found, [key, day], spread_by, limit=limit, sizes=sizes)
+    return lookups.spread_join(facts, point_in_time(facts, versions, key, day, version_key, value), [key, day])
 
 
-def overlaps(
-    versions: DataFrame, key: str, version_key: str, limit: int = ordering.GROUP_LIMIT
-) -> DataFrame:
+def overlaps(versions: DataFrame, key: str, version_key: str) -> DataFrame:
     """Pairs of versions of one key whose intervals overlap.
 
     Sorted by start, the versions that overlap a later one form a run behind it. The length of
@@ -80,7 +73,7 @@ def overlaps(
     # an end sorts before the starts of its day: touching intervals do not overlap
     counted = ordering.cumulate(
         starts.unionByName(ends), ["k"], ["d", "is_start", "v"], F.col("is_start").cast("bigint"),
-        "started", limit,
+        "started",
     )
 
     numbered = counted.where("is_start = 1").select("k", "v", "f", "t", F.col("started").alias("n"))

@@ -46,7 +46,6 @@ def fill_emails(
     domain: str = DEFAULT_DOMAIN,
     order: tuple[str, ...] = ("employee_id",),
     id_fallback: bool = True,
-    limit: int = ordering.GROUP_LIMIT,
     missing: Column | None = None,
 ) -> DataFrame:
     """Give every row without an email the first free ``first.last[n]`` address.
@@ -54,7 +53,7 @@ def fill_emails(
     The r-th missing row of a base name gets the r-th suffix that no existing address uses.
     With the used suffixes u(0) < u(1) < ... placed at u(j) - j and the missing rows at
     0, 1, 2, ..., that suffix is the row's place in the merged order of both, less one. Two
-    numberings do it, and a name with more than ``limit`` rows is spread over many tasks.
+    numberings do it, over which a name's rows may be spread across many tasks.
     """
     if missing is None:
         missing = exprs.is_blank(F.col("email"))
@@ -62,7 +61,7 @@ def fill_emails(
     base = exprs.email_base(F.col("full_name"))
     if id_fallback:
         base = F.when(base == "", F.concat(F.lit("employee_"), F.lower("employee_id"))).otherwise(base)
-    # the few rows to repair are stored: both numberings and their size checks read them
+    # the few rows to repair are stored: both numberings read them
     wanted = materialize(df.where(missing).withColumn("_base", base), "missing-emails")
     if wanted.isEmpty():
         return df
@@ -83,11 +82,11 @@ def fill_emails(
         taken.withColumn("_kind", F.lit(0)), allowMissingColumns=True
     )
     input_order = [*order, *[name for name in df.columns if name not in order]]
-    numbered = ordering.number_in_groups(members, ["_base", "_kind"], ["_suffix", *input_order], "_n", limit)
+    numbered = ordering.number_in_groups(members, ["_base", "_kind"], ["_suffix", *input_order], "_n")
     merged = numbered.withColumn(
         "_slot", F.when(F.col("_kind") == 0, F.col("_suffix") - (F.col("_n") - 1)).otherwise(F.col("_n") - 1)
     )
-    placed = ordering.number_in_groups(merged, ["_base"], ["_slot", "_kind", "_n"], "_m", limit).where("_kind = 1")
+    placed = ordering.number_in_groups(merged, ["_base"], ["_slot", "_kind", "_n"], "_m").where("_kind = 1")
     number = F.when(F.col("_m") > 1, (F.col("_m") - 1).cast("string")).otherwise("")
     filled = placed.withColumn("email", F.concat(F.col("_base"), number, F.lit(f"@{domain}")))
     return present.unionByName(materialize(filled.select(*df.columns), "filled-emails"))

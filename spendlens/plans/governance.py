@@ -59,7 +59,7 @@ CATALOG = [
     ("transactions", "approved_by", "VARCHAR", INTERNAL, "Indirect"),
 ]
 
-NONE, FULL, MASKED, AGGREGATED = "none", "full", "masked", "aggregated"
+NONE, FULL, MASKED, AGGREGATED, OWN = "none", "full", "masked", "aggregated", "own"
 
 # fixed values: what a persona sees of each dataset
 PERSONAS: dict[str, dict[str, str]] = {
@@ -69,13 +69,15 @@ PERSONAS: dict[str, dict[str, str]] = {
     "hr": {"projects": NONE, "employees": FULL, "transactions": NONE, "employees_salary_history": FULL},
     "executive": {"projects": FULL, "employees": FULL, "transactions": FULL, "employees_salary_history": NONE},
     "auditor": {"projects": FULL, "employees": FULL, "transactions": FULL, "employees_salary_history": FULL},
+    "project_manager": {"projects": OWN, "employees": OWN, "transactions": OWN, "employees_salary_history": NONE},
 }
 SEES_SALARY = ("hr", "auditor", "finance")
 
-# fixed values: years a record is kept, counted from its date, and the date column
+# fixed values: years a record is kept, counted from its date, and the date column. What is kept by
+# employment gets its date from :func:`with_employment_end`.
 RETENTION_YEARS: dict[str, tuple[str, int]] = {
-    "employees": ("end_date", 5),
-    "employees_salary_history": ("effective_date", 10),
+    "employees": ("employment_end", 5),
+    "employees_salary_history": ("employment_end", 10),
     "transactions": ("transaction_date", 7),
     "projects": ("end_date", 7),
     "events": ("timestamp", 1),
@@ -109,22 +111,31 @@ def mask_employees(employees: DataFrame, domain: str = DEFAULT_DOMAIN) -> DataFr
 def persona_view(
     df: DataFrame, dataset: str, persona: str, domain: str = DEFAULT_DOMAIN,
     personas: Mapping[str, Mapping[str, str]] = PERSONAS,
+    person: str | None = None, projects: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` as the persona may see it; ``PermissionError`` when there is no access.
 
     Masked access hashes identifiers of people, masks names and addresses and drops other
     personal columns. Aggregated access returns counts and sums over the public text columns
-    with few values. Salaries stay with the personas in ``SEES_SALARY``.
+    with few values. Own access gives the projects that ``person`` manages, the transactions of these
+    (``projects`` says which they are) and the names of the people who report to them. Salaries stay with the
+    personas in ``SEES_SALARY``.
     """
     access = personas[persona].get(dataset, NONE)
     if access == NONE:
         raise PermissionError(f"{persona} has no access to {dataset}")
     classes = {name: (kind, pii) for table, name, _, kind, pii in CATALOG if table == dataset}
     unclassified = [name for name in df.columns if name not in classes]
-    if access != FULL:
+    if access not in (FULL, OWN):
         df = df.drop(*unclassified)
     if persona not in SEES_SALARY:
         df = df.drop(*[name for name, (kind, _) in classes.items() if kind == SENSITIVE])
+    if access == OWN:
+        if person is None:
+            raise PermissionError(f"{persona} sees own rows only: say whose")
+        if dataset == "employees":
+            return team_names(df, person)
+        return own_projects(df, person) if dataset == "projects" else own_transactions(df, projects, person)
     if access == FULL:
         return df
     if access == AGGREGATED:
@@ -191,7 +202,7 @@ def perturb_salaries(
 
     def synthetic(name: str) -> Column:
         text = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(name)), 256)
-        return F.when(F.col(name).isNotNull(), F.concat(F.lit("SYN"), F.substring(text, 1, 16)))
+        return F.when(F.col(name).isNotNull(), F.concat(F.lit("SYN"), text))
 
     return employees.withColumns({
         "salary": F.round(exprs.as_double(employees, "salary") * (1 + clipped), 2),
@@ -212,6 +223,19 @@ def retention(df: DataFrame, date_column: str, years: int, as_of: str, archive_y
     )
 
 
+def with_employment_end(df: DataFrame, employees: DataFrame, history: DataFrame) -> DataFrame:
+    """Rows with ``employee_id`` and the last day on record of people who have left; null for all others."""
+    ended = employees.where(F.trim("status").isin("Inactive", "Terminated")).select("employee_id").distinct()
+    last = history.groupBy("employee_id").agg(F.max(exprs.as_date(history, "effective_date")).alias("employment_end"))
+    return df.join(ended.join(last, "employee_id"), "employee_id", "left")
+
+
+def event_retention(events: DataFrame, as_of: str) -> DataFrame:
+    """Events are kept for their time, then archived in compressed form, then expire."""
+    column, years = RETENTION_YEARS["events"]
+    return retention(events, column, years, as_of, COMPRESSED_EVENT_YEARS)
+
+
 def retention_split(df: DataFrame, date_column: str, years: int, as_of: str) -> tuple[DataFrame, DataFrame]:
     """(kept, expired) rows."""
     tagged = retention(df, date_column, years, as_of)

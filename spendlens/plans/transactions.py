@@ -22,11 +22,11 @@ def enrich_transactions(transactions: DataFrame, projects: DataFrame, employees:
     })
     with_project = lookups.left_lookup(
         typed, projects, "project_id", "project_id",
-        {"project_name": "project_name", "department": "department"}, spread_by="transaction_id",
+        {"project_name": "project_name", "department": "department"},
     )
     with_approver = lookups.left_lookup(
         with_project, employees, "approved_by", "employee_id",
-        {"full_name": "approver_full_name"}, spread_by="transaction_id",
+        {"full_name": "approver_full_name"},
     )
     return with_approver.withColumn(
         "approver_full_name", F.coalesce("approver_full_name", F.lit(UNASSIGNED))

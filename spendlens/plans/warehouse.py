@@ -95,7 +95,7 @@ def employee_versions(history: DataFrame, employees: DataFrame, domain: str = DE
         F.coalesce("region", F.lit("Abu Dhabi")).alias("region"),
         exprs.zero_if_null(experience, "int").alias("years_experience"),
     )
-    past = lookups.spread_join(changes, identity, ["employee_id"], "source_key", "inner").withColumn(
+    past = lookups.spread_join(changes, identity, ["employee_id"], "inner").withColumn(
         "is_current", F.lit(False)
     )
     latest = changes.groupBy("employee_id").agg(F.max("valid_from").alias("latest"))
@@ -170,7 +170,7 @@ def _versions_with_end(history: DataFrame, employees: DataFrame, domain: str) ->
         exprs.zero_if_null(experience, "int").alias("years_experience"),
         *[F.col(name) for name, present in own.items() if not present],
     )
-    past = lookups.spread_join(changes, identity, ["employee_id"], "source_key").withColumns({
+    past = lookups.spread_join(changes, identity, ["employee_id"]).withColumns({
         "full_name": F.coalesce("full_name", F.lit("Staff Member")),
         "email": F.coalesce("email", F.lit(f"unknown@{domain}")),
         "region": F.coalesce("region", F.lit("Abu Dhabi")),
@@ -237,7 +237,7 @@ def transaction_rows(
     # the calendar is one row per day between two literal dates
     calendar = F.broadcast(dim_date.select("date_key", F.col("full_date").alias("day")))
     with_version = temporal.temporal_left_join(
-        rows, dim_employee, "approved_by", "day", "employee_id", "employee_key", spread_by="transaction_id"
+        rows, dim_employee, "approved_by", "day", "employee_id", "employee_key"
     )
     # the stored dimensions join by plain shuffles, which the adaptive skew join can split
     return (

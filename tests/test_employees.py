@@ -51,15 +51,13 @@ NAMED = [
 ]
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
 @pytest.mark.parametrize("fallback", [True, False])
-def test_emails_as_if_assigned_in_turn(spark, limit, fallback):
-    got = employees.fill_emails(frame(spark, NAMED), id_fallback=fallback, limit=limit).collect()
+def test_emails_as_if_assigned_in_turn(spark, fallback):
+    got = employees.fill_emails(frame(spark, NAMED), id_fallback=fallback).collect()
     assert {r.employee_id: r.email for r in got} == assign_in_turn(NAMED, "example.com", fallback)
 
 
-@pytest.mark.parametrize("limit", [0, 1000])
-def test_emails_of_a_hot_name_are_unique(spark, limit):
+def test_emails_of_a_hot_name_are_unique(spark):
     rng = random.Random(11)
     rows = []
     for i in range(300):
@@ -67,7 +65,7 @@ def test_emails_of_a_hot_name_are_unique(spark, limit):
         email = None if rng.random() < 0.5 else rng.choice(["hot.name", "ann.lee", "bo.li", "cy"]) + rng.choice(
             ["", *map(str, range(1, 60))]) + "@example.com"
         rows.append({"employee_id": f"E{i:04d}", "full_name": name, "email": email})
-    got = {r.employee_id: r.email for r in employees.fill_emails(frame(spark, rows), limit=limit).collect()}
+    got = {r.employee_id: r.email for r in employees.fill_emails(frame(spark, rows)).collect()}
     assert got == assign_in_turn(rows, "example.com", True)
     filled = [got[r["employee_id"]] for r in rows if r["email"] is None]
     assert len(set(filled)) == len(filled) and not set(filled) & {r["email"] for r in rows}

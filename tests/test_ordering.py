@@ -33,24 +33,22 @@ def test_row_index_is_dense_along_the_order(frame, rows):
     assert [(r.id, r.n) for r in got] == [(row[2], i + 1) for i, row in enumerate(in_order(rows))]
 
 
-@pytest.mark.parametrize("limit", [0, 20, ordering.GROUP_LIMIT])
-def test_number_in_groups(frame, rows, limit):
+def test_number_in_groups(frame, rows):
     expected = {}
     for _, group in groupby(in_order(rows), key=lambda r: r[0]):
         expected |= {row[2]: i + 1 for i, row in enumerate(group)}
-    got = ordering.number_in_groups(frame, ["k"], ["t", "id"], "n", limit).collect()
+    got = ordering.number_in_groups(frame, ["k"], ["t", "id"], "n").collect()
     assert {r.id: r.n for r in got} == expected
 
 
-@pytest.mark.parametrize("limit", [0, ordering.GROUP_LIMIT])
-def test_cumulate(frame, rows, limit):
+def test_cumulate(frame, rows):
     expected = {}
     for _, group in groupby(in_order(rows), key=lambda r: r[0]):
         total = 0
         for row in group:
             total += row[1]
             expected[row[2]] = total
-    got = ordering.cumulate(frame, ["k"], ["t", "id"], F.col("t"), "s", limit).collect()
+    got = ordering.cumulate(frame, ["k"], ["t", "id"], F.col("t"), "s").collect()
     assert {r.id: r.s for r in got} == expected
 
 
@@ -65,9 +63,8 @@ def test_neighbours_cross_range_boundaries(frame, rows):
     assert {r.id: r.x for r in ordering.preceding(ordered, ["k"], "id", "x").collect()} == before
 
 
-@pytest.mark.parametrize("limit", [0, ordering.GROUP_LIMIT])
-def test_exact_median(frame, rows, limit):
-    got = {r.k: r.median for r in stats.exact_median(frame, "t", ["k"], limit).collect()}
+def test_exact_median(frame, rows):
+    got = {r.k: r.median for r in stats.exact_median(frame, "t", ["k"]).collect()}
     for key, group in groupby(in_order(rows), key=lambda r: r[0]):
         values = sorted(row[1] for row in group)
         middle = len(values) // 2
@@ -76,7 +73,7 @@ def test_exact_median(frame, rows, limit):
 
 def test_median_of_everything_and_of_nothing(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (9.0,), (4.0,)], "v double")
-    assert stats.exact_median(df, "v", limit=0).first().median == 3.0
+    assert stats.exact_median(df, "v").first().median == 3.0
     assert stats.exact_median(df.where("v > 100"), "v").count() == 0
 
 
@@ -100,26 +97,36 @@ def test_insert_if_absent(spark):
     assert sorted(map(tuple, dedup.insert_if_absent(old, new, ["k"]).collect())) == [(1, "old"), (2, "a")]
 
 
-@pytest.mark.parametrize("limit, broadcast_rows", [(3, 0), (1000, 0), (3, 100)])
-def test_left_lookup_keeps_the_row_count(spark, limit, broadcast_rows):
+def test_left_lookup_keeps_the_row_count(spark):
     facts = spark.createDataFrame([(i, None if i % 3 == 0 else f"d{i % 4}") for i in range(60)], "id long, d string")
     dim = spark.createDataFrame([("d1", "one"), ("d1", "uno"), ("d2", "two"), (None, "none")], "d string, name string")
-    got = lookups.left_lookup(facts, dim, "d", "d", {"name": "label"}, "id", limit, broadcast_rows)
+    got = lookups.left_lookup(facts, dim, "d", "d", {"name": "label"})
     assert got.columns == ["id", "d", "label"] and got.count() == 60
     assert {(r.d, r.label) for r in got.collect()} == {(None, None), ("d0", None), ("d1", "one"), ("d2", "two"), ("d3", None)}
 
 
-def test_spread_join_divides_hot_and_missing_keys(spark):
-    facts = spark.createDataFrame([(i, None if i % 2 else "hot") for i in range(4000)], "id long, k string")
-    side = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("hot", ["hot", None])
+def test_spread_join_divides_hot_and_missing_keys(spark, hot):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "5KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        got = lookups.spread_join(facts, side, ["k"], "id", limit=100, broadcast_rows=0)
-        per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        facts = spark.range(0, 20_000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 != 0, F.concat(F.lit("k"), F.col("id"))).otherwise(F.lit(hot)).alias("k"))
+        keys = spark.range(0, 20_000).select(F.concat(F.lit("k"), F.col("id")).alias("k"))
+        side = keys.groupBy("k").agg(F.count("*").alias("v"))
+        got = lookups.spread_join(facts, side, ["k"])
+        assert len(got.collect()) == 20_000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got.count() == 4000 and got.where("v = 1").count() == 2000
-    assert per_task < 2000
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def test_orphan_keys_ignores_missing_texts(spark):

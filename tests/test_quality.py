@@ -106,8 +106,8 @@ def test_reports(spark, tmp_path):
     summary = {r.dataset: (r.checks_run, r.checks_failed) for r in runs.quality_report(tables, str(tmp_path)).collect()}
     assert summary == {"projects": (9, 0), "employees": (8, 0), "transactions": (8, 0)}
     lines = [r.value for r in spark.read.text(f"{tmp_path}/dq_report_projects").collect()]
-    assert lines[2:5] == ["Checks run: 9", "Checks passed: 9", "Checks failed: 0"]
-    assert lines[8].startswith("| completeness | projects | True | 0 |") and len(lines) == 17
+    assert lines[4:7] == ["Checks run: 9", "Checks passed: 9", "Checks failed: 0"]
+    assert lines[10].startswith("| completeness | projects | True | 0 |") and len(lines) == 19
 
 
 ARRAY = '[\n  {"transaction_id":"T1","project_id":"P1","amount":1.50,"approved_by":"E1"},\n{"transaction_id":"T2","amount":null}\n,{"transaction_id":"x, y]"}]\n'
