@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -41,7 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # one process, as in tests: its own folder is shared by all of its tasks
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     return _local_dir(spark.sparkContext.applicationId)
 
