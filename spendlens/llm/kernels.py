@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20  # bytes of text worked on at once; one longer text is a chunk of its own
+CHUNK = 1 << 19  # bytes of text worked on at once; one longer text is a chunk of its own
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

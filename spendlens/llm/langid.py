@@ -26,8 +26,8 @@ SAMPLE = 500  # documents per language that centroids are learned from
 CENTROIDS = 4
 ROUNDS = 10
 SLACK = 0.5
-_ROWS = 256  # texts turned into vectors at once
-_PIECE = 1 << 21  # bytes of one long text counted at once
+_ROWS = 64  # texts turned into vectors at once
+_PIECE = 1 << 19  # bytes of one long text counted at once
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[65:91] = np.arange(97, 123)

@@ -26,7 +26,7 @@ SIZE = 10
 SLOP = 2
 BLOCK = 200_000  # windows sent to the tasks at once
 TERMS = 2_000_000  # benchmark terms up to which the index is limited to them
-_WORDS = 2 << 20  # words laid out at once while matching
+_WORDS = 1 << 19  # words laid out at once while matching
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

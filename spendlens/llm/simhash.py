@@ -25,7 +25,7 @@ from spendlens.llm.kernels import texts
 SEED = 42
 BITS = 64
 SPLIT = 50_000
-_VOTES = 1 << 18  # shingles voted on at once
+_VOTES = 1 << 16  # shingles voted on at once
 
 
 def _hashes(words: list[bytes], size: int) -> np.ndarray:
