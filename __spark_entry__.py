@@ -178,6 +178,12 @@ def _table_contract(spark: SparkSession, d: str) -> DataFrame:
     return writers.enforce_schema(binding.transactions(spark, d), contract, defaults)
 
 
+def _contract_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Projects against a contract that asks for budgets and for unique ids and departments."""
+    contract = T.StructType([T.StructField(name, T.StringType(), name == "region") for name in ("project_id", "budget", "region")])
+    return writers.contract_violations(binding.projects(spark, d), contract, ["project_id", "department"])
+
+
 def _first_events(spark: SparkSession, d: str) -> DataFrame:
     return readers.first_events(_clean_events(spark, d), 1000).select("event_id", "event_type", "timestamp")
 
@@ -461,6 +467,7 @@ _QUERIES: dict[str, Query] = {
     # sources and sinks
     "insert_if_absent": _insert_if_absent,
     "table_contract": _table_contract,
+    "contract_violations": _contract_violations,
     "csv_projects": _csv_projects,
     "csv_layouts": _csv_layouts,
     "json_transactions": _json_transactions,

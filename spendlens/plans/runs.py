@@ -1,7 +1,7 @@
 """Complete runs: the event tables and the extract - gate - clean - verify - report chain."""
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -109,10 +109,15 @@ def run_etl(
     issues = issue_report_lines(
         employees.employee_issues(raw["employees"], as_of), raw_rows["projects"], raw_rows["employees"]
     )
-    writers.write_lines(spark, [*report_lines(frame), *issues], f"{out_dir}/report_{run_id}")
+    writers.write_lines(spark, [*report_lines(frame), *issues, *written_lines(out_dir, raw_rows)], f"{out_dir}/report_{run_id}")
     return frame
 
 
+def written_lines(out_dir: str, datasets: Iterable[str]) -> list[str]:
+    """Where a run has put its tables."""
+    return ["Files written:", *[f"  - {out_dir}/{name}_clean" for name in sorted(datasets)]]
+
+
 def report_lines(metrics: DataFrame) -> list[str]:
     """Text report of a run; the metrics are a handful of rows."""
     values = {(m.dataset, m.stage, m.metric): m.value for m in metrics.collect()}

@@ -28,6 +28,23 @@ def enforce_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, o
     return df.select(*[column(field) for field in schema.fields])
 
 
+def contract_violations(df: DataFrame, schema: T.StructType, unique: Sequence[str] = ()) -> DataFrame:
+    """(column_name, rule, row_count): missing values of required columns, and rows that repeat a unique value.
+
+    All required columns are counted in one pass; a unique column costs one aggregation over itself.
+    """
+    required = [field.name for field in schema.fields if not field.nullable]
+    lacking = [F.count_if(F.col(name).isNull()) if name in df.columns else F.count("*") for name in required]
+    counted = df.agg(*[n.alias(name) for n, name in zip(lacking, required)])
+    found = counted.unpivot([], required, "column_name", "row_count").select(
+        "column_name", F.lit("NOT NULL").alias("rule"), "row_count")
+    for name in unique:
+        copies = df.where(F.col(name).isNotNull()).groupBy(name).agg((F.count("*") - 1).alias("n"))
+        total = F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")
+        found = found.unionByName(copies.agg(total).select(F.lit(name).alias("column_name"), F.lit("UNIQUE").alias("rule"), "row_count"))
+    return found
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Directory of CSV files with a header; text keeps its surrounding blanks."""
     (
