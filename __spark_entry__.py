@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -510,7 +511,22 @@ def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
             raise
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
-    return {**operators.QUERIES, "pipeline": corpus_pipeline.run}, {**operators.ORACLES, **sql}
+    found = {**operators.QUERIES, "pipeline": corpus_pipeline.run}
+    return {name: _importable(query) for name, query in found.items()}, {**operators.ORACLES, **sql}
+
+
+def _importable(query: Query) -> Query:
+    """Python workers import the package from beside this file, where it is not installed for them."""
+    here = str(Path(__file__).resolve().parent)
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if here not in known:
+            environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
