@@ -20,6 +20,7 @@ different texts of one doc_id are put in the order of a hash. Null texts are emp
 """
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -73,7 +74,7 @@ def _pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
             yield first, at, part, np.array([0, len(part)])
 
 
-def _batch_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _batch_runs(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
     """Runs of a batch (doc, mark, text), with what becomes of each; see the module's text."""
     for batch in batches:
         found = [[] for _ in range(6)]
@@ -95,30 +96,46 @@ def _batch_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fate = np.full(len(order), GONE, np.int8)
         alone, edges, sizes = order[fresh], *np.unique(b[fresh], return_index=True, return_counts=True)[1:]
         kept = np.full(len(alone), SENT, np.int8)
-        for i in np.flatnonzero(sizes > MANY):
+        for i in np.flatnonzero(sizes > many):
             kept[edges[i]:edges[i] + sizes[i]] = LEFT
             kept[edges[i]:edges[i] + 2] = SHOWN
         fate[alone] = kept
-        rows = pa.array(row)
+        # of what goes, neighbouring runs travel as one
+        gone = np.flatnonzero(fate == GONE)
+        gone = gone[np.lexsort((low[gone], row[gone]))]
+        heads = np.ones(len(gone), bool)
+        heads[1:] = (row[gone[1:]] != row[gone[:-1]]) | (low[gone[1:]] != high[gone[:-1]] + 1)
+        first = np.flatnonzero(heads)
+        high[gone[first]] = high[gone[np.append(first[1:], len(gone)) - 1]] if len(gone) else high[:0]
+        own = np.concatenate([np.flatnonzero(fate != GONE), gone[first]])
+        rows = pa.array(row[own])
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(bucket.view(np.int64)),
-             pa.array(whole.view(np.int64)), pa.array(low), pa.array(high), pa.array(left.astype(np.int32)),
-             pa.array(fate.astype(np.int32))], names=_RUN)
+            [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(bucket[own].view(np.int64)),
+             pa.array(whole[own].view(np.int64)), pa.array(low[own]), pa.array(high[own]), pa.array(fate[own].astype(np.int32))],
+            names=_RUN)
 
 
-_RUN = ["doc", "mark", "bucket", "whole", "low", "high", "at", "fate"]
+_RUN = ["doc", "mark", "bucket", "whole", "low", "high", "fate"]
 
 
 def _first_refinement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of runs sorted by bucket, identifier and order: the fate of each; buckets with one identifier drop out."""
+    """Of runs sorted by bucket, identifier and order: the fate of each; buckets with one identifier drop out.
+
+    What the batches have settled comes last and passes.
+    """
     held = None  # the only run so far of the bucket that the last batch ended in
     bucket = whole = None
     split = False
     for batch in batches:
+        if not batch.num_rows:
+            continue
+        settled = pc.is_in(batch.column(6), pa.array([LEFT, GONE], pa.int32()))
+        yield batch.filter(settled)
+        batch = batch.filter(pc.invert(settled))
         if not batch.num_rows:
             continue
         b, w = (batch.column(i).to_numpy() for i in (2, 3))
-        fate = batch.column(7).to_numpy().copy()
+        fate = batch.column(6).to_numpy()
         same_bucket = np.concatenate([[b[0] == bucket], b[1:] == b[:-1]])
         same = same_bucket & np.concatenate([[w[0] == whole], w[1:] == w[:-1]])
         # a bucket is split from its second identifier on; its first run is then wanted too
@@ -133,9 +150,9 @@ def _first_refinement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         firsts = ~same & (fate == SENT)
         # a document's repeated row settles nothing: it is the same run
         gone = same.copy()
-        wanted = gone | (firsts & many[group])
+        wanted = gone | (firsts & many[group]) | (fate == SHOWN)
         fate = np.where(gone, GONE, LEFT).astype(np.int32)
-        columns = [*batch.columns[:7], pa.array(fate)]
+        columns = [*batch.columns[:6], pa.array(fate)]
         whole_batch = pa.RecordBatch.from_arrays(columns, names=_RUN)
         out.append(whole_batch.filter(pa.array(wanted)))
         last_alone = not many[-1]
@@ -231,7 +248,7 @@ def _second_refinement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield _repeats(kept)
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", many: int = MANY) -> tuple[DataFrame, DataFrame]:
     """The documents as (doc, mark, text), and runs (doc, mark, low, high) of repeated strings by first and last start."""
     rows = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     # texts are hashed only where a key does not stand for one row
@@ -240,15 +257,16 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     rows = rows.select("doc", mark.alias("mark"), "text")
     own = rows.dropDuplicates(["doc", "mark"]) if unclear else rows
     kind = rows.schema["doc"].dataType.simpleString()
-    schema = f"doc {kind}, mark long, bucket long, whole long, low long, high long, at int, fate int"
-    found = store(own.mapInArrow(_batch_runs, schema), "runs")
-    sent = found.where(F.col("fate").isin(SENT, SHOWN)).repartition("bucket").sortWithinPartitions(
-        "bucket", "whole", F.col("doc").asc_nulls_last(), "mark", "low")
-    refined = store(sent.mapInArrow(_first_refinement, schema), "refined-runs")
+    schema = f"doc {kind}, mark long, bucket long, whole long, low long, high long, fate int"
+    settled = F.col("fate").isin(LEFT, GONE)
+    # what the batches have settled shares the exchange, dealt out evenly
+    dealt = own.mapInArrow(partial(_batch_runs, many=many), schema).repartition(F.when(settled, F.xxhash64("doc", "low")).otherwise(F.col("bucket")))
+    refined = dealt.sortWithinPartitions(settled, "bucket", "whole", F.col("doc").asc_nulls_last(), "mark", "low")
+    refined = store(refined.mapInArrow(_first_refinement, schema), "refined-runs")
     release(docs.sparkSession)
-    left = found.where(F.col("fate").isin(SHOWN, LEFT)).unionByName(refined.where(F.col("fate") == LEFT))
-    gone = found.where(F.col("fate") == GONE).unionByName(refined.where(F.col("fate") == GONE)).select("doc", "mark", "low", "high")
+    left, gone = refined.where(F.col("fate") == LEFT), refined.where(F.col("fate") == GONE).select("doc", "mark", "low", "high")
     large = left.groupBy("bucket").count().where(F.col("count") > LARGE).select("bucket", F.lit(True).alias("large"))
+    large = store(large, "large-buckets")  # a stored side leaves the join to Spark's treatment of skew
     left = left.join(large, "bucket", "left").groupBy("doc", "mark").agg(F.collect_list(F.struct(
         "bucket", "low", "high", F.coalesce("large", F.lit(False)).alias("large"))).alias("runs"))
     asked = own.join(left.withColumnsRenamed({"doc": "doc_", "mark": "mark_"}),
@@ -264,9 +282,9 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[D
     return rows, gone.unionByName(again)
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", many: int = MANY) -> DataFrame:
     """(key, n_bytes, spans, kept): removed byte spans, ends exclusive, and the bytes that are left, per row."""
-    rows, gone = repeats(docs, key, text)
+    rows, gone = repeats(docs, key, text, many)
     spans = gone.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
     spans = spans.withColumnsRenamed({"doc": "doc_", "mark": "mark_"})
     joined = rows.join(spans, F.col("doc").eqNullSafe(F.col("doc_")) & (F.col("mark") == F.col("mark_")), "left")

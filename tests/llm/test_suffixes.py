@@ -23,9 +23,9 @@ def brute(rows, length=100):
     return found
 
 
-def spark_rows(spark, rows):
+def spark_rows(spark, rows, **kw):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
-    found = suffixes.deduplicate(docs).collect()
+    found = suffixes.deduplicate(docs, **kw).collect()
     return [(r["key"], (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()))
             for r in found]
 
@@ -48,12 +48,28 @@ def corpus(seed, docs=60):
     return sorted(rows) + [(2000, "ab" * 300), (2001, "x" + "ab" * 200), (2002, "a" * 99), (2003, "a" * 100), (2004, "a" * 101)]
 
 
-@pytest.mark.parametrize("limits", [{}, {"MANY": 1}, {"LARGE": 1}, {"MANY": 2, "LARGE": 3}])
-def test_matches_brute_force(spark, monkeypatch, limits):
-    for name, value in limits.items():
-        monkeypatch.setattr(suffixes, name, value)
-    rows = corpus(len(limits))
-    assert dict(spark_rows(spark, rows)) == brute(rows)
+@pytest.mark.parametrize(("many", "large"), [(64, 20_000), (1, 20_000), (64, 1), (2, 3)])
+def test_matches_brute_force(spark, monkeypatch, many, large):
+    monkeypatch.setattr(suffixes, "LARGE", large)
+    rows = corpus(many)
+    assert dict(spark_rows(spark, rows, many=many)) == brute(rows)
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_buckets_may_span_batches(size):
+    rows = corpus(size, 40)
+    found = []
+    for at in range(0, len(rows), 7):
+        part = rows[at:at + 7]
+        batch = pa.record_batch([pa.array([k for k, _ in part]), pa.array([0] * len(part)), pa.array([t for _, t in part])], names=["doc", "mark", "text"])
+        found += suffixes._batch_runs([batch], 1)
+    table = pa.Table.from_batches(found)
+    settled = [f in (suffixes.LEFT, suffixes.GONE) for f in table["fate"].to_pylist()]
+    table = table.append_column("s", pa.array(settled)).sort_by([(n, "ascending") for n in ("s", "bucket", "whole", "doc", "mark", "low")]).drop("s")
+    whole = pa.Table.from_batches(suffixes._first_refinement(table.combine_chunks().to_batches()))
+    pieces = pa.Table.from_batches(suffixes._first_refinement(table.combine_chunks().to_batches(max_chunksize=size)))
+    order = [(n, "ascending") for n in ("bucket", "whole", "doc", "low", "fate")]
+    assert pieces.sort_by(order).equals(whole.sort_by(order))
 
 
 def test_long_texts_in_pieces(spark, monkeypatch):
