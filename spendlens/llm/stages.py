@@ -62,7 +62,6 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
     rows = docs.select(F.struct(*others).alias("key"), "text")
-    encoded = wordtable.encode(rows, "key").select(F.struct("key", "ids").alias("key"), "ids")
-    decoded = wordtable.decode(encoded)
-    columns = [F.col("text") if c == "text" else F.col(f"key.key.`{c}`") for c in docs.columns if c not in ("ids", "n_tokens")]
-    return decoded.select(*columns, F.col("key.ids").alias("ids"), F.size("key.ids").cast("long").alias("n_tokens"))
+    encoded = wordtable.encode(rows, "key", view=wordtable.both_view)
+    columns = [F.col("text") if c == "text" else F.col(f"key.`{c}`") for c in docs.columns if c not in ("ids", "n_tokens")]
+    return encoded.select(*columns, "ids", F.size("ids").cast("long").alias("n_tokens"))

@@ -17,7 +17,8 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +32,9 @@ from tokenizers import Tokenizer
 from spendlens.llm.common import table
 from spendlens.llm.kernels import ranges
 
-BLOCK = 16 << 20  # characters of text in a block
+BLOCK = 8 << 20  # characters of text in a block
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
-_IDS = 1 << 21  # ids put in place at once
+_IDS = 1 << 19  # ids put in place at once
 
 
 def vocabulary(path: str | None = None) -> str:
@@ -46,7 +47,9 @@ def vocabulary(path: str | None = None) -> str:
         return file.read()
 
 
+@lru_cache(maxsize=2)
 def load(model: str) -> Tokenizer:
+    """The tokenizer of a file's text, once per process."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_str(model)
     tokenizer.no_truncation()
@@ -54,7 +57,8 @@ def load(model: str) -> Tokenizer:
     return tokenizer
 
 
-def pieces(model: str) -> list[bytes]:
+@lru_cache(maxsize=2)
+def pieces(model: str) -> pa.Array:
     """The bytes of each id. Byte-level vocabularies write the bytes that do not print as later code points."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
@@ -64,7 +68,12 @@ def pieces(model: str) -> list[bytes]:
     found = [b""] * (max(names.values()) + 1)
     for name, i in names.items():
         found[i] = bytes(map(byte_of.__getitem__, name)) if all(c in byte_of for c in name) else name.encode()
-    return found
+    return pa.array(found, pa.large_binary())
+
+
+@lru_cache(maxsize=2)
+def _decimals(n: int) -> pa.Array:
+    return pa.array([b"%d," % i for i in range(n)], pa.large_binary())
 
 
 class _Block:
@@ -227,11 +236,11 @@ def _encode_words(model) -> "callable":
     return run
 
 
-def _put_in_place(texts: pa.Table, packs: pa.Table) -> pa.Table:
-    names = ["key", "ids"]
+def _put_in_place(texts: pa.Table, packs: pa.Table, view: "View", model) -> pa.Table:
     texts = texts.filter(pc.equal(texts["owner"], -1))
     if not len(texts):
-        return pa.table([pa.array([], texts.schema.field("keys").type.value_type), pa.array([], pa.list_(pa.int32()))], names=names)
+        nothing = view(pa.array([], pa.list_(pa.int32())), model.value)
+        return pa.table({"key": pa.array([], texts.schema.field("keys").type.value_type)} | nothing)
     packs = packs.sort_by("owner")
     nothing = np.zeros(0, np.int64)
     sizes = np.concatenate([nothing, *[_wide(x) for x in packs["sizes"].to_pylist()]])
@@ -250,22 +259,10 @@ def _put_in_place(texts: pa.Table, packs: pa.Table) -> pa.Table:
         own = codes[edges[row]:edges[last]]
         ids = flat[ranges(starts[own], sizes[own])]
         cuts = np.concatenate([[0], np.cumsum(sizes[own])])[edges[row:last + 1] - edges[row]]
-        out.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids)))
+        lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))
+        out.append(pa.table({"key": keys[row:last]} | view(lists, model.value)))
         row = last
-    return pa.table([keys, pa.chunked_array(out, pa.list_(pa.int32()))], names=names)
-
-
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None,
-           block: int = BLOCK) -> DataFrame:
-    """(key, ids): the ids of each whole text, as the tokenizer gives them without special tokens of its own."""
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(model or vocabulary())
-    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    # one exchange takes texts to their blocks' place and words to their owners; both sides below read it
-    dealt = split(docs, key, text, owners, block).repartition("to")
-    kind = dealt.schema["keys"].dataType.elementType.simpleString()
-    packs = dealt.groupBy("to").applyInArrow(_encode_words(model), "to long, owner int, sizes binary, ids binary")
-    return dealt.groupBy("to").cogroup(packs.groupBy("to")).applyInArrow(_put_in_place, f"key {kind}, ids array<int>")
+    return pa.concat_tables(out)
 
 
 def _taken(values: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -276,60 +273,86 @@ def _taken(values: pa.Array, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), offsets
 
 
-def _each_text(lists: pa.ListArray) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Runs of rows with a bounded number of ids: the ids, and their edges by row."""
+def _joined(values: pa.Array, lists: pa.ListArray) -> Iterator[np.ndarray]:
+    """For each row the values of its ids as one run of bytes; a bounded number of ids is looked up at once."""
     edges = lists.offsets.to_numpy()
     ids, edges, row = lists.flatten(), edges - edges[0], 0
     while row < len(lists):
         last = max(row + 1, int(np.searchsorted(edges, edges[row] + _IDS, "right")) - 1)
-        yield ids[edges[row]:edges[last]], edges[row:last + 1] - edges[row]
+        data, offsets = _taken(values, ids[edges[row]:edges[last]])
+        cuts = offsets[edges[row:last + 1] - edges[row]]
+        yield from (data[a:b] for a, b in zip(cuts[:-1], cuts[1:]))
         row = last
 
 
-def decode(tokens: DataFrame, key: str = "key", ids: str = "ids", model: str | None = None) -> DataFrame:
-    """(key, text): pieces of all ids joined; bytes that are no UTF-8 become replacement characters. Null is empty."""
-    shared = tokens.sparkSession.sparkContext.broadcast(pieces(model or vocabulary()))
+def _texts(lists: pa.ListArray, model: str) -> Iterator[str]:
+    return (x.tobytes().decode("utf-8", "replace") for x in _joined(pieces(model), lists))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(shared.value, pa.large_binary())
-        for batch in batches:
-            found = []
-            for own, edges in _each_text(batch.column(1)):
-                data, offsets = _taken(table, own)
-                found += [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(offsets[edges[:-1]], offsets[edges[1:]])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["key", "text"])
 
-    empty = F.expr("cast(array() as array<int>)")
-    rows = tokens.select(F.col(key).alias("key"), F.coalesce(F.col(ids), empty).alias("ids"))
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, text string")
+# What is made of the ids of a run of rows, by column; the model is the tokenizer file's text.
+View = Callable[[pa.ListArray, str], dict[str, pa.Array]]
+
+
+def ids_view(lists: pa.ListArray, model: str) -> dict[str, pa.Array]:
+    return {"ids": lists}
+
+
+def text_view(lists: pa.ListArray, model: str) -> dict[str, pa.Array]:
+    return {"text": pa.array(_texts(lists, model), pa.string())}
+
+
+def both_view(lists: pa.ListArray, model: str) -> dict[str, pa.Array]:
+    return ids_view(lists, model) | text_view(lists, model)
 
 
-def digests(tokens: DataFrame, model: str | None = None) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): of the ids in decimal, and of the text decoded from them."""
-    shared = tokens.sparkSession.sparkContext.broadcast(pieces(model or vocabulary()))
+def digest_view(lists: pa.ListArray, model: str) -> dict[str, pa.Array]:
+    """Number of ids, and digests of the ids in decimal and of the text decoded from them."""
+    listed = _joined(_decimals(len(pieces(model))), lists)
+    return {
+        "n_tokens": pa.array(np.diff(lists.offsets.to_numpy()), pa.int64()),
+        "ids_sha256": pa.array([hashlib.sha256(x[:max(0, len(x) - 1)]).hexdigest() for x in listed], pa.string()),
+        "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in _texts(lists, model)], pa.string()),
+    }
+
+
+VIEWS: dict[View, str] = {
+    ids_view: "ids array<int>", text_view: "text string", both_view: "ids array<int>, text string",
+    digest_view: "n_tokens long, ids_sha256 string, decoded_sha256 string",
+}
+
+
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None,
+           block: int = BLOCK, view: View = ids_view) -> DataFrame:
+    """(key, ids): the ids of each whole text, as the tokenizer gives them without special tokens of its own.
+
+    Another ``view`` gives what is decoded from the ids, or both, or digests, without moving the ids again.
+    """
+    spark = docs.sparkSession
+    model = spark.sparkContext.broadcast(model or vocabulary())
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    # one exchange takes texts to their blocks' place and words to their owners; both sides below read it
+    dealt = split(docs, key, text, owners, block).repartition("to")
+    kind = dealt.schema["keys"].dataType.elementType.simpleString()
+    packs = dealt.groupBy("to").applyInArrow(_encode_words(model), "to long, owner int, sizes binary, ids binary")
+
+    def put(texts: pa.Table, packs: pa.Table) -> pa.Table:
+        return _put_in_place(texts, packs, view, model)
+
+    return dealt.groupBy("to").cogroup(packs.groupBy("to")).applyInArrow(put, f"key {kind}, {VIEWS[view]}")
+
+
+def decode(tokens: DataFrame, key: str = "key", ids: str = "ids", model: str | None = None, view: View = text_view) -> DataFrame:
+    """(key, text): pieces of all ids joined; bytes that are no UTF-8 become replacement characters. Null is empty."""
+    shared = tokens.sparkSession.sparkContext.broadcast(model or vocabulary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.array(shared.value, pa.large_binary())
-        numbers = pa.array([b"%d," % i for i in range(len(table))], pa.large_binary())
         for batch in batches:
-            counts, listed, decoded = [], [], []
-            for own, edges in _each_text(batch.column(1)):
-                counts.append(np.diff(edges))
-                data, offsets = _taken(numbers, own)
-                listed += [hashlib.sha256(data[a:max(a, b - 1)]).hexdigest() for a, b in zip(offsets[edges[:-1]], offsets[edges[1:]])]
-                data, offsets = _taken(table, own)
-                for a, b in zip(offsets[edges[:-1]], offsets[edges[1:]]):
-                    text = data[a:b].tobytes().decode("utf-8", "replace")
-                    decoded.append(hashlib.sha256(text.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate([np.zeros(0, np.int64), *counts]), pa.int64()),
-                 pa.array(listed, pa.string()), pa.array(decoded, pa.string())],
-                names=["key", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = tokens.schema["key"].dataType.simpleString()
-    return tokens.select("key", "ids").mapInArrow(
-        run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            yield pa.RecordBatch.from_pydict({"key": batch.column(0)} | view(batch.column(1), shared.value))
+
+    empty = F.expr("cast(array() as array<int>)")
+    rows = tokens.select(F.col(key).alias("key"), F.coalesce(F.col(ids), empty).alias("ids"))
+    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, {VIEWS[view]}")
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
-    return digests(encode(table(spark, sf_dir, "documents"))).withColumnRenamed("key", "doc_id")
+    return encode(table(spark, sf_dir, "documents"), view=digest_view).withColumnRenamed("key", "doc_id")

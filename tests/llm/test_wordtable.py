@@ -33,7 +33,8 @@ def test_matches_the_tokenizer(spark, block):
     assert {r["key"]: r["ids"] for r in rows} == {k: expected(t)[0] for k, t in texts.items() if k != 3}
     decoded = {r["key"]: r["text"] for r in wordtable.decode(encoded).collect()}
     assert all(decoded[k] == expected(t)[1] for k, t in texts.items() if k != 3)
-    found = wordtable.digests(encoded).collect()
+    found = wordtable.encode(docs, block=block, view=wordtable.digest_view).collect()
+    assert sorted(found, key=str) == sorted(wordtable.decode(encoded, view=wordtable.digest_view).collect(), key=str)
     assert len(found) == len(ODD) + 2
     for r in found:
         if r["key"] not in (3, None):
