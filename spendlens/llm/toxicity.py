@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words in lower case and their first 3 to 8 letters. Those whose share among toxic documents stands out are
-counted over all labelled documents that may be learned from, and the ``TERMS`` strongest by the chi-squared statistic
-make the vocabulary. Examples are the labelled documents with the smallest hashes, at most ``EXAMPLES`` per
+Terms are words in lower case and their first 3 to 8 letters. Those with ``LIFT`` times the share among toxic documents,
+counted over all labelled documents that may be learned from, make the vocabulary: the ``TERMS`` strongest by the
+chi-squared statistic. Examples are the labelled documents with the smallest hashes, at most ``EXAMPLES`` per
 class, as TF-IDF vectors over it; a vote counts as often as its class is under-sampled.
 
 An inverted index keeps, for each term, its examples and weights, cut into blocks of ``BLOCK`` examples with the largest
@@ -28,7 +28,8 @@ from spendlens.llm.common import in_fold, store, table
 TERMS = 512
 EXAMPLES = 3000  # per class
 NEAREST = 15
-BLOCK = 64
+BLOCK = 512
+LIFT = 4  # times as large as among other documents, at least, is a term's share of the toxic ones
 SHARE = 0.005  # of the toxic documents that must hold a term; so the number of such terms is bounded
 _PREFIXES = range(3, 9)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -39,10 +40,16 @@ def _word_terms(word: str) -> set[str]:
     return {word, *[word[:n] + "*" for n in _PREFIXES if len(word) >= n]}
 
 
-def _terms(text: str) -> set[str]:
+def _heads(terms) -> set[str]:
+    """First letters by which most words are seen to have none of the terms."""
+    return {term[:3] for term in terms}
+
+
+def _terms(text: str, heads: set[str] | None = None) -> set[str]:
     found = set()
     for word in set(_WORD.findall(text.lower())):
-        found |= _word_terms(word)
+        if heads is None or word[:3] in heads:
+            found |= _word_terms(word)
     return found
 
 
@@ -52,9 +59,10 @@ def _counts(rows: DataFrame, wanted: set[str] | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
+        heads = None if shared.value is None else _heads(shared.value)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                found = _terms(text or "")
+                found = _terms(text or "", heads)
                 total.update(found if shared.value is None else found & shared.value)
                 if len(total) > _MEMO:
                     yield _counted(total)
@@ -75,9 +83,11 @@ class _Vocabulary:
         self.numbers = {term: i for i, term in enumerate(sorted(idf))}
         self.idf = np.array([idf[t] for t in sorted(idf)])
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.heads = _heads(idf)
 
     def _of(self, token: str) -> tuple[int, ...]:
-        found = tuple(self.numbers[t] for w in _WORD.findall(token) for t in _word_terms(w) if t in self.numbers)
+        words = [w for w in _WORD.findall(token) if w[:3] in self.heads]
+        found = tuple(self.numbers[t] for w in words for t in _word_terms(w) if t in self.numbers)
         if len(self.memo) > _MEMO:
             self.memo.clear()
         self.memo[token] = found
@@ -130,9 +140,10 @@ class Index:
             for term, weight in zip(ids.tolist(), weights.tolist()):
                 a, b = self.cuts[term, block], self.cuts[term, block + 1]
                 sums[self.places[term][a:b] - block * BLOCK] += weight * self.weights[term][a:b]
-            for place in np.flatnonzero(sums > 0).tolist():
-                if self.order[block * BLOCK + place] != without:
-                    found.append((-round(float(sums[place]), 9), block * BLOCK + place))
+            sums = np.round(sums, 9)
+            near = np.flatnonzero(sums > 0)
+            near = near[np.lexsort((near, -sums[near]))[:k + 1]]
+            found += [(-s, p) for s, p in zip(sums[near].tolist(), (near + block * BLOCK).tolist()) if self.order[p] != without]
             found = sorted(found)[:k]
         return [(-score, self.order[place]) for score, place in found]
 
@@ -140,6 +151,7 @@ class Index:
 class Model:
     def __init__(self, idf: dict[str, float], examples: list, totals: tuple[int, int]) -> None:
         self.vocabulary = _Vocabulary(idf)
+        self.memo: dict[bytes, tuple[float, list[tuple[float, int]]]] = {}
         self.keys = [r["key"] for r in examples]
         self.labels = np.array([r["toxic"] for r in examples], float)
         sampled = [max(1, int((self.labels == y).sum())) for y in (0, 1)]
@@ -162,10 +174,15 @@ class Model:
 
     def score(self, text: str) -> tuple[float, list[tuple[float, int]]]:
         ids, weights = self.vocabulary.vector(text)
-        near = self.index.nearest(ids, weights, NEAREST) if len(ids) else []
-        if not near:
+        if not len(ids):
             return self.without, []
-        return float(np.interp(self._vote(near), self.votes, self.shares)), near
+        key = ids.tobytes() + weights.tobytes()  # copies ask the same
+        if key not in self.memo:
+            if len(self.memo) > _MEMO // 10:
+                self.memo.clear()
+            near = self.index.nearest(ids, weights, NEAREST)
+            self.memo[key] = float(np.interp(self._vote(near), self.votes, self.shares)) if near else self.without, near
+        return self.memo[key]
 
 
 def _rising(votes: list[float], labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for term, a in toxic.items():
         b = other.get(term, 0)
         c, d = n[1] - a, n[0] - b
-        if a * n[0] > b * n[1]:
+        if a * n[0] > LIFT * b * n[1]:
             strength[term] = (a * d - b * c) ** 2 * sum(n) / max(1, (a + b) * (c + d) * n[0] * n[1])
     chosen = sorted((t for t in strength if strength[t] > 30), key=lambda t: (-strength[t], t))[:TERMS]
     # how much a term tells stands beside how rare it is
