@@ -7,20 +7,22 @@ that follow s. All are proper distributions, and a text's score is the sum over
 context of each.
 
 A context is retained by its divergence from s': the log-likelihood ratio of its training symbols, each one left out of the
-counts that predict it, must be above ``LEAST`` bits. A context seen once cannot be tested that way; all of these share
-one k, the odds that a context seen twice was followed by two different symbols. Contexts of more than a
-thousandth of all symbols are retained without a test, as their distributions are known well, with k a tenth of n(s).
-Longer contexts are only asked about where the shorter one was seen at least ``EXTEND`` times.
+counts that predict it, must be above ``LEAST`` bits. A single symbol seen once cannot be tested that way; all such
+contexts share one k, the odds that a context seen twice was followed by two different symbols. Contexts seen more than
+``FREQUENT`` times are retained without a test, as their distributions are known well, with k a tenth of n(s).
+Contexts of several symbols must have been seen twice, and their suffix at least ``EXTEND`` times.
 
 Texts are gathered in blocks of ``BLOCK`` bytes. Each round sends the different (context, symbol) pairs of a block, packed, to the
 tasks that own the contexts, which add up counts, test, and answer; frequent contexts are owned pair by pair. Counts
-cover all training texts. Symbols and contexts are 64-bit hashes, and symbols within a context 48-bit ones.
+cover all training texts. Symbols and contexts are 64-bit hashes, and symbols within a context 32-bit ones, as no owner
+has more than ``FREQUENT`` sightings of a context that is not frequent, and a small part of one that is.
 
 Null texts are empty: they hold the end mark alone. Rows are scored one by one, so keys may be null or repeat. Without
 training texts every symbol has probability 1.
 """
 
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +38,10 @@ DEPTH = 2
 BLOCK = 8 << 20
 LEAST = 1.0
 EXTEND = 4
-FREQUENT = 1000  # contexts of more than one in so many symbols are frequent
+FREQUENT = 100_000  # sightings from which a context is frequent
 _END, _BEGIN = mix(np.array([11, 13], np.uint64))
-_LOW = np.uint64((1 << 48) - 1)
-_STEPS = 8  # of one bit, in which probabilities are sent along
+_LOW = np.uint64((1 << 32) - 1)
+_STEPS = 4  # of one bit, in which probabilities are sent along
 _UNTESTED, _KEPT, _ONCE, _FREQUENT = 0, 1, 2, 3
 
 
@@ -75,6 +77,11 @@ def _groups(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(ordered)))
 
 
+def _owner(hashes: np.ndarray, owners: int) -> np.ndarray:
+    """Owners have ranges of hashes, so that sorted hashes come in order of owner."""
+    return (hashes >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)
+
+
 def _dealt(owner: np.ndarray) -> Iterator[tuple[int, slice]]:
     for first, size in zip(*_groups(owner)):
         yield int(owner[first]), slice(int(first), int(first + size))
@@ -102,9 +109,9 @@ class Block:
         self.symbols = names[codes]
 
     def first_request(self) -> Iterator[tuple[int, bytes]]:
-        """Training counts of the block's symbols, for their owners; names are in order of owner already."""
+        """Training counts of the block's symbols, for their owners."""
         counts = np.bincount(self.codes, weights=self.learned, minlength=len(self.names))
-        for owner, own in _dealt(self.names % np.uint64(self.owners)):
+        for owner, own in _dealt(_owner(self.names, self.owners)):
             yield owner, dump(_steps(self.names[own]), counts[own])
 
     def root(self, answers: list[bytes], total: int, distinct: int) -> None:
@@ -130,8 +137,8 @@ class Block:
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         n = np.bincount(inverse, weights=self.learned[at], minlength=len(first))
         context, symbol, seen, p = context[first], symbol[first] & _LOW, self.seen[at][first], self.p[at][first]
-        frequent = seen * self.frequent > self.total
-        owner = np.where(frequent, mix(context ^ symbol), context) % np.uint64(self.owners)
+        frequent = seen > self.frequent
+        owner = _owner(np.where(frequent, mix(context ^ symbol), context), self.owners)
         order = np.lexsort((symbol, context, owner))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -142,7 +149,7 @@ class Block:
         bits = np.minimum(np.round(-np.log2(p) * _STEPS), 255)
         for to, own in _dealt(owner):
             first, sizes = _groups(context[own])
-            frequent = seen[own][first] * self.frequent > self.total
+            frequent = seen[own][first] > self.frequent
             yield to, dump(_steps(context[own][first]), sizes, frequent, symbol[own], n[own], bits[own])
 
     def deepen(self, answers: list[bytes], once: float) -> None:
@@ -168,7 +175,7 @@ class Block:
         self.context = mix(self._before(self.context, np.uint64(0)) * np.uint64(5) + self._before(self.symbols, np.uint64(0)))
         self.seen = self._before(seen, 0)
         # the suffix without its first symbol was the context of this round; few sightings need no longer context
-        self.open = self.open & ~begins & (self.seen > 0) & (shorter >= EXTEND)
+        self.open = self.open & ~begins & (self.seen > 1) & (shorter >= EXTEND)
 
 
 def _count_symbols(requests: pa.Table) -> pa.Table:
@@ -229,34 +236,24 @@ def _answer(requests: pa.Table) -> pa.Table:
     return _answers(requests, answers, (twice & (types == 1)).sum(), (twice & (types == 2)).sum())
 
 
-_STATE = "block long, owner int, payload binary, codes binary, sizes array<int>, train array<int>"
+_STATE = "block long, names binary, codes binary, sizes array<int>, train array<int>"
 
 
-def _split(docs: DataFrame, learned: F.Column, key: str, text: str, owners: int, block: int) -> DataFrame:
-    """One row per block with its texts (owner -1), and its first requests."""
+def _split(docs: DataFrame, learned: F.Column, key: str, text: str, block: int) -> DataFrame:
+    """One row per block with its texts as numbers of its own distinct symbols."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), learned.cast("int").alias("train"))
     kind = rows.schema["key"].dataType
-    names = ["block", "owner", "payload", "codes", "sizes", "train", "keys"]
+    names = ["block", "names", "codes", "sizes", "train", "keys"]
 
     def batch_of(number: int, parts: list) -> Iterator[pa.RecordBatch]:
         keys, train = (pa.concat_arrays([p[i] for p in parts]) for i in (0, 1))
         train, sizes = train.fill_null(0), np.concatenate([p[3] for p in parts])
         hashes = np.concatenate([p[2] for p in parts])
         found, codes = np.unique(hashes, return_inverse=True)
-        order = np.lexsort((found, found % np.uint64(owners)))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        codes = place[codes]
-        state = Block(found[order], codes, sizes, train.to_numpy(), owners)
-        requests = list(state.first_request())
-        n = len(requests)
-        lists = lambda x, kind: pa.concat_arrays([pa.array([x], pa.list_(kind)), pa.nulls(n, pa.list_(kind))])
-        own = pa.ListArray.from_arrays(pa.array([0] + [len(keys)] * (n + 1), pa.int32()), keys)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([number] * (n + 1), pa.int64()), pa.array([-1] + [o for o, _ in requests], pa.int32()),
-             pa.array([dump(state.names)] + [p for _, p in requests], pa.binary()),
-             pa.array([dump(codes)] + [None] * n, pa.binary()),
-             lists(sizes.astype(np.int32), pa.int32()), lists(train.to_numpy().astype(np.int32), pa.int32()), own], names=names)
+            [pa.array([number], pa.int64()), pa.array([dump(_steps(found))], pa.binary()), pa.array([dump(codes)], pa.binary()),
+             pa.array([sizes.astype(np.int32)], pa.list_(pa.int32())), pa.array([train.to_numpy().astype(np.int32)], pa.list_(pa.int32())),
+             pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, parts, held = TaskContext.get().partitionId() << 32, [], 0
@@ -273,10 +270,27 @@ def _split(docs: DataFrame, learned: F.Column, key: str, text: str, owners: int,
     return rows.mapInArrow(run, f"{_STATE}, keys array<{kind.simpleString()}>")
 
 
+def _block(names: bytes, codes: bytes, sizes: list, train: list, owners: int, frequent: int) -> Block:
+    names = np.cumsum(load(names)[0], dtype=np.uint64)
+    return Block(names, load(codes)[0].astype(np.int64), np.array(sizes), np.array(train), owners, frequent)
+
+
+def _first_requests(owners: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = _block(*[batch.column(j)[i].as_py() for j in range(1, 5)], owners, FREQUENT)
+                asked = list(block.first_request())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column(0)[i].as_py()] * len(asked), pa.int64()), pa.array([o for o, _ in asked], pa.int32()),
+                     pa.array([p for _, p in asked], pa.binary())], names=["block", "owner", "payload"])
+
+    return run
+
+
 def _restored(state: pa.Table, answers: pa.Table, owners: int, frequent: int, totals: list[tuple[float, float]]) -> Block:
     """A block after the rounds so far."""
-    names, codes = load(state["payload"][0].as_py())[0], load(state["codes"][0].as_py())[0].astype(np.int64)
-    found = Block(names, codes, np.array(state["sizes"][0].as_py()), np.array(state["train"][0].as_py()), owners, frequent)
+    found = _block(*[state[c][0].as_py() for c in ("names", "codes", "sizes", "train")], owners, frequent)
     answers = answers.sort_by([("round", "ascending"), ("owner", "ascending")])
     rounds, payloads = answers["round"].to_numpy(), answers["payload"].to_pylist()
     for i, sums in enumerate(totals):
@@ -302,8 +316,11 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
     """(key, n_tokens, n_known, train_tokens, base_score, score) per document row, in powers of ten."""
     spark = docs.sparkSession
     owners = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    found = store(_split(docs, learned, key, text, owners, block), "lm-blocks")
-    state = found.where("owner = -1")
+    # bucketed by block, so that no round has to move the texts again
+    blocks = f"lm_blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _split(docs, learned, key, text, block).write.bucketBy(buckets, "block").option("compression", "zstd").saveAsTable(blocks)
+    state = spark.table(blocks)
     answer = "block long, owner int, payload binary, sum0 double, sum1 double"
     answers, totals = None, []
 
@@ -316,12 +333,13 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
         answers = answers.unionByName(more) if answers is not None else more
         release(spark)
 
-    add(found.where("owner >= 0").select("block", "owner", "payload").groupBy("owner").applyInArrow(_count_symbols, answer))
+    asked = state.drop("keys").mapInArrow(_first_requests(owners), "block long, owner int, payload binary")
+    add(asked.groupBy("owner").applyInArrow(_count_symbols, answer))
     for _ in range(depth):
         asked = state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _asking(owners, frequent, list(totals)), "block long, owner int, payload binary")
         add(asked.groupBy("owner").applyInArrow(_answer, answer))
-    kind = found.schema["keys"].dataType.elementType.simpleString()
+    kind = state.schema["keys"].dataType.elementType.simpleString()
 
     def score(own: pa.Table, known: pa.Table) -> pa.Table:
         block = _restored(own, known, owners, frequent, totals)
@@ -332,8 +350,11 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
             "train_tokens": pa.array(np.full(len(block.sizes), int(totals[0][0]), np.int64)),
             "base_score": pa.array(add_up(np.log10(block.base))), "score": pa.array(add_up(np.log10(block.p)))})
 
-    return state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    found = state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    found = store(found, "lm-scores")
+    spark.sql(f"DROP TABLE {blocks}")
+    return found
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -38,7 +38,7 @@ def brute(rows, learned, depth, frequent=suffixtree.FREQUENT):
             seen = sum(counts[e][s].values())
             ask = ask and seen > 0
             if e > 1:
-                ask = ask and sum(counts[e - 1][s[1:]].values()) >= suffixtree.EXTEND
+                ask = ask and seen > 1 and sum(counts[e - 1][s[1:]].values()) >= suffixtree.EXTEND
             if ask and s in kept[e]:
                 n, k = kept[e][s]
                 value = (counts[e][s][w] + k * value) / (n + k)
@@ -50,17 +50,17 @@ def brute(rows, learned, depth, frequent=suffixtree.FREQUENT):
             n, types = sum(follow.values()), len(follow)
             if d > 1 and sum(counts[d - 1][s[1:]].values()) < suffixtree.EXTEND:
                 continue
-            if n * frequent > total:
+            if n > frequent:
                 kept[d][s] = (n, 0.1 * n)
                 continue
             if n == 2:
                 same, diff = same + (types == 1), diff + (types == 2)
             if n == 1:
-                once.append(s)
+                once += [s] * (d == 1)
                 continue
             gain = 0
             for w, m in follow.items():
-                q = 2 ** -(min(round(-math.log2(p(s, w, d - 1)[0]) * 8), 255) / 8)
+                q = 2 ** -(min(round(-math.log2(p(s, w, d - 1)[0]) * 4), 255) / 4)
                 k = types - (m == 1)
                 gain += m * math.log2((m - 1 + k * q) / (n - 1 + k) / q)
             if gain > suffixtree.LEAST:
@@ -94,7 +94,7 @@ def sample(seed):
     return rows, [rnd.random() < 0.8 for _ in rows]
 
 
-@pytest.mark.parametrize(("depth", "block", "frequent"), [(1, 8 << 20, 1000), (2, 600, 1000), (3, 2000, 30), (2, 8 << 20, 5)])
+@pytest.mark.parametrize(("depth", "block", "frequent"), [(1, 8 << 20, 100_000), (2, 600, 100_000), (3, 2000, 60), (2, 8 << 20, 30)])
 def test_matches_brute_force(spark, depth, block, frequent):
     rows, learned = sample(depth)
     found = spark_rows(spark, rows, learned, depth=depth, block=block, frequent=frequent)
