@@ -202,7 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learn from the documents with a label; a number, the share of toxic ones, if a class is missing."""
     marked = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(
         F.max(F.col(label).cast("int")).alias("toxic"))
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(marked, "key")
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.join(marked.hint("merge"), "key")  # labels grow with the documents: the same plan at every size
     rows = store(rows, "labelled")
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n = (totals.get(0, 0), totals.get(1, 0))
