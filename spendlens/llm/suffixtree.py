@@ -8,14 +8,15 @@ context of each.
 
 A context is retained by its divergence from s': the log-likelihood ratio of its training symbols, each one left out of the
 counts that predict it, must be above ``LEAST`` bits. A single symbol seen once cannot be tested that way; all such
-contexts share one k, the odds that a context seen twice was followed by two different symbols. Contexts seen more than
-``FREQUENT`` times are retained without a test, as their distributions are known well, with k a tenth of n(s).
+contexts share one k, the odds that a context seen twice was followed by two different symbols.
 Contexts of several symbols must have been seen twice, and their suffix at least ``EXTEND`` times.
 
 Texts are gathered in blocks of ``BLOCK`` bytes. Each round sends the different (context, symbol) pairs of a block, packed, to the
-tasks that own the contexts, which add up counts, test, and answer; frequent contexts are owned pair by pair. Counts
-cover all training texts. Symbols and contexts are 64-bit hashes, and symbols within a context 32-bit ones, as no owner
-has more than ``FREQUENT`` sightings of a context that is not frequent, and a small part of one that is.
+tasks that own the contexts, which add up counts, test, and answer. The pairs of a context seen more than ``FREQUENT`` times
+are dealt out in parts; their owners send sums and how often each count and probability occurs, from which one more small
+aggregation makes the same test, and all blocks get its verdicts. Counts cover all training texts. Symbols and contexts
+are 64-bit hashes, and symbols within a context 32-bit ones, as no owner has more than ``FREQUENT`` sightings of a context
+that is not frequent, and a small part of one that is.
 
 Null texts are empty: they hold the end mark alone. Rows are scored one by one, so keys may be null or repeat. Without
 training texts every symbol has probability 1.
@@ -38,7 +39,8 @@ DEPTH = 2
 BLOCK = 8 << 20
 LEAST = 1.0
 EXTEND = 4
-FREQUENT = 100_000  # sightings from which a context is frequent
+FREQUENT = 100_000  # sightings from which a context is dealt out in parts
+PARTS = 4  # of it for so many sightings
 _END, _BEGIN = mix(np.array([11, 13], np.uint64))
 _LOW = np.uint64((1 << 32) - 1)
 _STEPS = 4  # of one bit, in which probabilities are sent along
@@ -136,9 +138,11 @@ class Block:
         key = mix(context * np.uint64(3) ^ symbol)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         n = np.bincount(inverse, weights=self.learned[at], minlength=len(first))
-        context, symbol, seen, p = context[first], symbol[first] & _LOW, self.seen[at][first], self.p[at][first]
+        context, symbol, seen, p = context[first], symbol[first], self.seen[at][first], self.p[at][first]
         frequent = seen > self.frequent
-        owner = _owner(np.where(frequent, mix(context ^ symbol), context), self.owners)
+        part = mix(symbol) % (1 + seen * PARTS // self.frequent).astype(np.uint64)
+        owner = _owner(np.where(frequent, mix(context ^ mix(part)), context), self.owners)
+        symbol = symbol & _LOW
         order = np.lexsort((symbol, context, owner))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -152,18 +156,22 @@ class Block:
             frequent = seen[own][first] > self.frequent
             yield to, dump(_steps(context[own][first]), sizes, frequent, symbol[own], n[own], bits[own])
 
-    def deepen(self, answers: list[bytes], once: float) -> None:
+    def deepen(self, answers: list[bytes], once: float, verdicts: tuple[np.ndarray, ...]) -> None:
         """Take in the answers to the last request; the next one is about contexts that are one symbol longer."""
-        at, pair, _, context, *_ = self.pairs()
+        at, pair, _, context, _, _, sightings, _ = self.pairs()
         kind, many, types, n = [], [], [], []
         for answer in answers:
             sizes, k, m, t, count = load(answer)
             sizes = sizes.astype(np.int64)
             kind.append(np.repeat(k, sizes)), many.append(np.repeat(m, sizes)), types.append(np.repeat(t, sizes)), n.append(count)
         none = [np.zeros(0, np.uint64)]
-        kind, many, types, n = (np.concatenate(none + x).astype(float)[pair] for x in (kind, many, types, n))
-        many = np.where(kind == _FREQUENT, self.seen[at], many)  # an owner has a part of these
-        k = np.select([kind == _KEPT, kind == _ONCE], [types, once], 0.1 * many)
+        kind, many, types, n = (np.concatenate(none + x).astype(float) for x in (kind, many, types, n))
+        parted = kind == _FREQUENT  # an owner has a part of these
+        known, kept, followers = verdicts
+        place = np.searchsorted(known, context[parted])
+        kind[parted], many[parted], types[parted] = kept[place], sightings[parted], followers[place]
+        kind, many, types, n = (x[pair] for x in (kind, many, types, n))
+        k = np.where(kind == _ONCE, once, types)
         held = kind > _UNTESTED
         p = self.p.copy()
         p[at[held]] = ((n + k * self.p[at]) / (many + k))[held]
@@ -184,16 +192,57 @@ def _count_symbols(requests: pa.Table) -> pa.Table:
     known, inverse = np.unique(np.concatenate(names), return_inverse=True)
     total = np.bincount(inverse, weights=np.concatenate([n for _, n in asked]).astype(float), minlength=len(known))
     edges = np.cumsum([0, *map(len, names)])
-    return _answers(requests, [dump(total[inverse[a:b]]) for a, b in zip(edges[:-1], edges[1:])], total.sum(), (total > 0).sum())
+    payloads = [dump(total[inverse[a:b]]) for a, b in zip(edges[:-1], edges[1:])]
+    return _answers(requests, payloads, (total.sum(), (total > 0).sum()), [])
 
 
-def _answers(requests: pa.Table, payloads: list[bytes], *sums: float) -> pa.Table:
-    """One answer per request, and a row without a block for sums over all owners."""
-    n = len(payloads)
-    columns = {"block": [*requests["block"].to_pylist(), -1], "owner": [*requests["owner"].to_pylist(), 0], "payload": [*payloads, b""]}
-    kinds = {"block": pa.int64(), "owner": pa.int32(), "payload": pa.binary()}
-    out = {k: pa.array(v, kinds[k]) for k, v in columns.items()}
-    return pa.table(out | {f"sum{i}": pa.array([0.0] * n + [float(s)], pa.float64()) for i, s in enumerate(sums)})
+_ANSWER = "block long, owner int, payload binary, sum0 double, sum1 double, context long"
+
+
+def _answers(requests: pa.Table, payloads: list[bytes], sums: tuple, parts: list[tuple]) -> pa.Table:
+    """One answer per request, a row of block -1 for sums over all owners, and one of block -2 per part of a frequent context."""
+    rows = [(b, o, p, 0.0, 0.0, 0) for b, o, p in zip(requests["block"].to_pylist(), requests["owner"].to_pylist(), payloads)]
+    rows += [(-1, 0, b"", *map(float, sums), 0), *parts]
+    names = ("block", "owner", "payload", "sum0", "sum1", "context")
+    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.int64())
+    return pa.table({k: pa.array(column, kind) for k, kind, column in zip(names, kinds, zip(*rows))})
+
+
+def _gains(count: np.ndarray, p: np.ndarray, many, types) -> np.ndarray:
+    """Bits that a context gains on each symbol that follows it, whose sightings are each predicted from the others."""
+    left, kinds = many - 1, np.where(count == 1, types - 1, types)  # its own type goes too where it was the only one of it
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where((count > 0) & (left > 0), count * np.log2((count - 1 + kinds * p) / (left + kinds) / p), 0)
+    return np.nan_to_num(gain, neginf=-1e6)
+
+
+def _parts(owner: int, context: np.ndarray, count: np.ndarray, bits: np.ndarray) -> Iterator[tuple]:
+    """One row per frequent context: sightings, kinds of symbols, and how many symbols have each count and probability."""
+    for first, size in zip(*_groups(context)):
+        own = slice(first, first + size)
+        found, times = np.unique(count[own].astype(np.uint64) << np.uint64(16) | bits[own], return_counts=True)
+        n = float(count[own].sum()), float((count[own] > 0).sum())
+        yield -2, owner, dump(found >> np.uint64(16), found & np.uint64(65535), times), *n, int(context[first:first + 1].view(np.int64)[0])
+
+
+def _part_gains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        gains = []
+        for payload, many, types in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)]):
+            count, bits, times = (x.astype(float) for x in load(payload))
+            gains.append(float((_gains(count, 2.0 ** -(bits / _STEPS), many, types) * times).sum()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(3), pa.array(gains, pa.float64())], names=["context", "types", "gain"])
+
+
+def _verdicts(parts: DataFrame) -> tuple[np.ndarray, ...]:
+    """Frequent contexts in order, whether each is kept, and its kinds of symbols; at most one for ``FREQUENT`` training symbols."""
+    whole = parts.groupBy("context").agg(F.sum("sum0").alias("many"), F.sum("sum1").alias("types"))
+    found = parts.select("context", "payload").join(whole, "context").mapInArrow(_part_gains, "context long, types double, gain double")
+    rows = found.groupBy("context").agg(F.max("types"), F.sum("gain")).collect()
+    context = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(context)
+    types, gain = (np.array([r[i] for r in rows], float)[order] for i in (1, 2))
+    return context[order], np.where(gain > LEAST, _KEPT, _UNTESTED), types
 
 
 def _answer(requests: pa.Table) -> pa.Table:
@@ -216,12 +265,7 @@ def _answer(requests: pa.Table) -> pa.Table:
     group = np.cumsum(group)
     many = np.bincount(group, weights=count)
     types = np.bincount(group, weights=count > 0)
-    # each training symbol predicted from the others: its own type goes too where it was the only one of it
-    left = many[group] - 1
-    kinds = np.where(count == 1, types[group] - 1, types[group])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where((count > 0) & (left > 0), count * np.log2((count - 1 + kinds * p) / (left + kinds) / p), 0)
-    gain = np.bincount(group, weights=np.nan_to_num(gain, neginf=-1e6))
+    gain = np.bincount(group, weights=_gains(count, p, many[group], types[group]))
     kind = np.where(often[start], _FREQUENT, np.where(many == 1, _ONCE, np.where((many > 1) & (gain > LEAST), _KEPT, _UNTESTED)))
     twice = (many == 2) & ~often[start]
     back = np.empty(len(order), np.int64)
@@ -233,7 +277,8 @@ def _answer(requests: pa.Table) -> pa.Table:
         heads = group[own[np.cumsum(sizes) - sizes]] if len(own) else own
         answers.append(dump(sizes, kind[heads], many[heads], types[heads], count[own]))
         at += len(a[3])
-    return _answers(requests, answers, (twice & (types == 1)).sum(), (twice & (types == 2)).sum())
+    parts = _parts(requests["owner"][0].as_py(), c[often], count[often], bits[first][often])
+    return _answers(requests, answers, ((twice & (types == 1)).sum(), (twice & (types == 2)).sum()), [*parts])
 
 
 _STATE = "block long, names binary, codes binary, sizes array<int>, train array<int>"
@@ -288,7 +333,7 @@ def _first_requests(owners: int):
     return run
 
 
-def _restored(state: pa.Table, answers: pa.Table, owners: int, frequent: int, totals: list[tuple[float, float]]) -> Block:
+def _restored(state: pa.Table, answers: pa.Table, owners: int, frequent: int, totals: list[tuple]) -> Block:
     """A block after the rounds so far."""
     found = _block(*[state[c][0].as_py() for c in ("names", "codes", "sizes", "train")], owners, frequent)
     answers = answers.sort_by([("round", "ascending"), ("owner", "ascending")])
@@ -298,11 +343,11 @@ def _restored(state: pa.Table, answers: pa.Table, owners: int, frequent: int, to
         if i == 0:
             found.root(payloads[a:b], int(sums[0]), int(sums[1]))
         else:
-            found.deepen(payloads[a:b], (sums[1] + 1) / (sums[0] + 1))
+            found.deepen(payloads[a:b], (sums[1] + 1) / (sums[0] + 1), sums[2])
     return found
 
 
-def _asking(owners: int, frequent: int, totals: list[tuple[float, float]]):
+def _asking(owners: int, frequent: int, totals: list[tuple]):
     def run(own: pa.Table, known: pa.Table) -> pa.Table:
         asked = list(_restored(own, known, owners, frequent, totals).request())
         return pa.table({"block": pa.array([own["block"][0].as_py()] * len(asked), pa.int64()),
@@ -321,24 +366,23 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     _split(docs, learned, key, text, block).write.bucketBy(buckets, "block").option("compression", "zstd").saveAsTable(blocks)
     state = spark.table(blocks)
-    answer = "block long, owner int, payload binary, sum0 double, sum1 double"
     answers, totals = None, []
 
     def add(more: DataFrame) -> None:
         nonlocal answers
         more = store(more, "lm-answers")
         sums = more.where("block = -1").agg(F.sum("sum0"), F.sum("sum1")).first()
-        totals.append((sums[0] or 0.0, sums[1] or 0.0))
+        totals.append((sums[0] or 0.0, sums[1] or 0.0, _verdicts(more.where("block = -2"))))
         more = more.where("block >= 0").select("block", "owner", "payload", F.lit(len(totals) - 1).alias("round"))
         answers = answers.unionByName(more) if answers is not None else more
         release(spark)
 
     asked = state.drop("keys").mapInArrow(_first_requests(owners), "block long, owner int, payload binary")
-    add(asked.groupBy("owner").applyInArrow(_count_symbols, answer))
+    add(asked.groupBy("owner").applyInArrow(_count_symbols, _ANSWER))
     for _ in range(depth):
         asked = state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _asking(owners, frequent, list(totals)), "block long, owner int, payload binary")
-        add(asked.groupBy("owner").applyInArrow(_answer, answer))
+        add(asked.groupBy("owner").applyInArrow(_answer, _ANSWER))
     kind = state.schema["keys"].dataType.elementType.simpleString()
 
     def score(own: pa.Table, known: pa.Table) -> pa.Table:
