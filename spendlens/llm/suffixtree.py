@@ -16,7 +16,8 @@ tasks that own the contexts, which add up counts, test, and answer. The pairs of
 are dealt out in parts; their owners send sums and how often each count and probability occurs, from which one more small
 aggregation makes the same test, and all blocks get its verdicts. Counts cover all training texts. Symbols and contexts
 are 64-bit hashes, and symbols within a context 32-bit ones, as no owner has more than ``FREQUENT`` sightings of a context
-that is not frequent, and a small part of one that is.
+that is not frequent, and a small part of one that is. All symbols not seen in training are asked about as one, as they
+have the same probability after a context.
 
 Null texts are empty: they hold the end mark alone. Rows are scored one by one, so keys may be null or repeat. Without
 training texts every symbol has probability 1.
@@ -41,7 +42,7 @@ LEAST = 1.0
 EXTEND = 4
 FREQUENT = 100_000  # sightings from which a context is dealt out in parts
 PARTS = 4  # of it for so many sightings
-_END, _BEGIN = mix(np.array([11, 13], np.uint64))
+_END, _BEGIN, _UNKNOWN = mix(np.array([11, 13, 17], np.uint64))
 _LOW = np.uint64((1 << 32) - 1)
 _STEPS = 4  # of one bit, in which probabilities are sent along
 _UNTESTED, _KEPT, _ONCE, _FREQUENT = 0, 1, 2, 3
@@ -123,7 +124,8 @@ class Block:
         # how often the context of the next round was seen, and that context; texts begin as often as they end
         self.seen = self._before(self.count, self.count[self.starts + self.sizes - 1])
         self.context = self._before(self.symbols, _BEGIN)
-        self.open = (self.seen > 0) & (self.count > 0)
+        self.open = self.seen > 0
+        self.asked = np.where(self.count > 0, self.symbols, _UNKNOWN)
 
     def _before(self, values: np.ndarray, first) -> np.ndarray:
         out = np.empty_like(values)
@@ -134,7 +136,7 @@ class Block:
     def pairs(self) -> tuple[np.ndarray, ...]:
         """The different (context, symbol) pairs asked about, by owner, context and symbol, and each place's pair."""
         at = np.flatnonzero(self.open)
-        context, symbol = self.context[at], self.symbols[at]
+        context, symbol = self.context[at], self.asked[at]
         key = mix(context * np.uint64(3) ^ symbol)
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         n = np.bincount(inverse, weights=self.learned[at], minlength=len(first))
