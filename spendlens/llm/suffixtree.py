@@ -7,9 +7,9 @@ that follow s. All are proper distributions, and a text's score is the sum over
 context of each.
 
 A context is retained by its divergence from s': the log-likelihood ratio of its training symbols, each one left out of the
-counts that predict it, must be above ``LEAST`` bits. A single symbol seen once cannot be tested that way; all such
-contexts share one k, the odds that a context seen twice was followed by two different symbols.
-Contexts of several symbols must have been seen twice, and their suffix at least ``EXTEND`` times.
+counts that predict it, must be above ``LEAST`` bits. A context seen once cannot be tested that way; all of these
+of one length share one k, the odds that a context seen twice was followed by two different symbols. The suffix of a
+context must have been seen at least ``EXTEND`` times.
 
 Texts are gathered in blocks of ``BLOCK`` bytes. Each round sends the different (context, symbol) pairs of a block, packed, to the
 tasks that own the contexts, which add up counts, test, and answer. The pairs of a context seen more than ``FREQUENT`` times
@@ -44,7 +44,7 @@ FREQUENT = 100_000  # sightings from which a context is dealt out in parts
 PARTS = 4  # of it for so many sightings
 _END, _BEGIN, _UNKNOWN = mix(np.array([11, 13, 17], np.uint64))
 _LOW = np.uint64((1 << 32) - 1)
-_STEPS = 4  # of one bit, in which probabilities are sent along
+_STEPS = 8  # of one bit, in which probabilities are sent along
 _UNTESTED, _KEPT, _ONCE, _FREQUENT = 0, 1, 2, 3
 
 
@@ -152,7 +152,7 @@ class Block:
 
     def request(self) -> Iterator[tuple[int, bytes]]:
         _, _, owner, context, symbol, n, seen, p = self.pairs()
-        bits = np.minimum(np.round(-np.log2(p) * _STEPS), 255)
+        bits = np.minimum(np.round(-np.log2(p) * _STEPS), 65535)
         for to, own in _dealt(owner):
             first, sizes = _groups(context[own])
             frequent = seen[own][first] > self.frequent
@@ -185,7 +185,7 @@ class Block:
         self.context = mix(self._before(self.context, np.uint64(0)) * np.uint64(5) + self._before(self.symbols, np.uint64(0)))
         self.seen = self._before(seen, 0)
         # the suffix without its first symbol was the context of this round; few sightings need no longer context
-        self.open = self.open & ~begins & (self.seen > 1) & (shorter >= EXTEND)
+        self.open = self.open & ~begins & (self.seen > 0) & (shorter >= EXTEND)
 
 
 def _count_symbols(requests: pa.Table) -> pa.Table:
