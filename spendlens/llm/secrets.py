@@ -1,12 +1,14 @@
 """Secret findings, with false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` characters of keys, paths and addresses that holds a digit. Its features
+A candidate is a run of at least ``SHORTEST`` characters of keys, paths and addresses that holds a digit, cut after its last
+assignment to a name; or a value of any length and make that is assigned to a name of a credential, or stands as the password
+in an address. Its features
 are its length and its shares of character classes; how often its characters change class, and how unlikely its
 transitions are among all letter and digit pairs of the corpus; the share of it that frequent short words of the corpus
 cover; marks of paths and addresses in it and before it; and the words beside it. The forest (Spark ML) learns from
 labelled findings: any table of findings with a label will do. The query takes its labels from findings
-whose context leaves no doubt: a value assigned to a name of a credential, against addresses, plain numbers and
-digests named as such; half of the labelled findings' context is hidden in training, so that the forest does not
+whose context leaves no doubt: a value assigned to a name of a credential (letters alone after a colon may be prose, so
+they stay unlabelled), against other addresses, plain numbers and digests named as such; half of the labelled findings' context is hidden in training, so that the forest does not
 lean on the naming words alone. Findings without such a context are judged by the forest.
 
 Null texts are empty. Rows are scanned one by one, so keys may be null or repeat. If labels of both classes are
@@ -40,7 +42,12 @@ _TOKEN = re.compile(r"[A-Za-z]+")
 # fixed values: words that name a credential, and words that name something that only looks like one
 _CREDENTIAL = frozenset("token secret key apikey password passwd pwd credential credentials auth bearer access private".split())
 _DIGEST = frozenset("sha sha1 sha256 md5 digest checksum hash commit revision uuid guid etag card phone mail email http https www".split())
-_ADDRESS = re.compile(r"@|://|/.*/|\.[a-z]{2,}(?:/|$)")
+_ADDRESS = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://|^(?:~|\.{1,2})?/|^[^@]+@[\w-]+(?:\.[\w-]+)+$|\.[a-z]{2,}(?:/|$)")
+_NAMED = re.compile(
+    rf"(?i)(?<![a-z])(?:{'|'.join(sorted(_CREDENTIAL, key=len, reverse=True))})[\"'`]?[ \t]*(?:[:=]=|=>|[:=])(?!//)[ \t]*"
+    r"(?:[\"'`](?P<quoted>[!-~]*?)[\"'`]|(?P<bare>[A-Za-z0-9+/=_.@:~%!#$^*?-]+))")
+_PASSWORD = re.compile(r"://[^\s/:@\"'`]*:(?P<value>[!#-&(-.0-?A-_a-~]+)@")
+_CUT = re.compile(r".*(?<![A-Za-z0-9_.-])[A-Za-z_][A-Za-z0-9_.-]*(?:=+(?=[^=])|:(?!//))")
 _BUCKETS = 8
 FEATURES = 17 + _BUCKETS
 
@@ -109,7 +116,7 @@ def features(value: str, before: str, after: str, known: Corpus) -> list[float]:
     out = [
         min(n, 512), *[kinds.count(k) / n for k in range(4)],
         sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1),
-        float(known.cost[codes[:-1], codes[1:]].mean()),
+        float(known.cost[codes[:-1], codes[1:]].mean()) if n > 1 else 0.0,
         -sum(c / n * math.log2(c / n) for c in counts.values()),
         max(counts.values()) / n, coverage(value, known.words),
         sum(value.count(c) for c in "/.:@") / n, float(bool(_ADDRESS.search(value))), float(before[-1:] in ("/", "\\", "@")),
@@ -122,15 +129,45 @@ def features(value: str, before: str, after: str, known: Corpus) -> list[float]:
     return out + buckets
 
 
-def verdict(value: str, before: str) -> int | None:
+def verdict(value: str, before: str, after: str = "") -> int | None:
     """1 or 0 where the context leaves no doubt, as an analyst would label the finding."""
     words = [w.lower() for w in _TOKEN.findall(before)[-2:]]
-    assigned = before.rstrip("\"'` ")[-1:] in ("=", ":")
-    if _ADDRESS.search(value) or value.isdigit() or not any(c.isalpha() for c in value):
+    last = before.rstrip("\"'` ")[-1:]
+    if _DIGEST & set(words) and not (words[-1] in _CREDENTIAL and last in ("=", ":", ">")):
         return 0
-    if _DIGEST & set(words):
+    if after[:1] == "@" and re.search(r"://[^\s/:@]*:$", before):
+        return 1
+    if last in ("=", ":", ">") and _CREDENTIAL & set(words):
+        prose = last == ":" and before[-1:] not in ("\"", "'", "`") and value.isalpha()
+        return None if value.isdigit() or prose else 1
+    if _ADDRESS.search(value) or value.isdigit() or not any(c.isalpha() for c in value):
         return 0
-    return 1 if assigned and _CREDENTIAL & set(words) else None
+    return None
+
+
+def found_in(text: str) -> list[tuple[int, int]]:
+    """Spans of the candidates, by place and without overlaps; assigned values and passwords come before runs."""
+    named = []
+    for m in _NAMED.finditer(text):
+        a, b = m.span("quoted" if m["bare"] is None else "bare")
+        b = a + len(text[a:b].rstrip(".:!?")) if m["bare"] is not None else b
+        named.append((a, b))
+    named = sorted({*named, *[m.span("value") for m in _PASSWORD.finditer(text)]})
+    out = []
+    for a, b in named:
+        if a < b and (not out or a >= out[-1][1]):
+            out.append((a, b))
+    taken, at = list(out), 0
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        cut = _CUT.match(m[0]) if "://" not in m[0] else None
+        a += cut.end() if cut else 0
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        clear = at == len(taken) or taken[at][0] >= b
+        if clear and b - a >= SHORTEST and any(c.isdigit() for c in text[a:b]):
+            out.append((a, b))
+    return sorted(out)
 
 
 _SCHEMA = "start int, `end` int, value string, label int, features array<double>, hidden array<double>"
@@ -144,15 +181,12 @@ def candidates(docs: DataFrame, known: Corpus, key: str = "doc_id", text: str =
         for batch in batches:
             rows, found = [], []
             for row, value in enumerate(batch.column(1).to_pylist()):
-                for m in _CANDIDATE.finditer(value or ""):
-                    if not any(c.isdigit() for c in m[0]):
-                        continue
-                    a, b = m.span()
-                    before, after = value[max(0, a - BESIDE):a], value[b:b + BESIDE]
+                for a, b in found_in(value or ""):
+                    own, before, after = value[a:b], value[max(0, a - BESIDE):a], value[b:b + BESIDE]
                     rows.append(row)
                     found.append({
-                        "start": a, "end": b, "value": m[0], "label": verdict(m[0], before),
-                        "features": features(m[0], before, after, shared.value), "hidden": features(m[0], "", "", shared.value)})
+                        "start": a, "end": b, "value": own, "label": verdict(own, before, after),
+                        "features": features(own, before, after, shared.value), "hidden": features(own, "", "", shared.value)})
             out = pa.Table.from_pylist(found, _FOUND).combine_chunks()
             keys = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
