@@ -12,7 +12,7 @@ Null texts are empty. Rows are treated one by one; equal or null keys do no harm
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -94,8 +94,13 @@ _SPELLED_PART = re.compile(rf"(?i){_ONE_WORD}|plus|dot|[0-9]+|[ .-]+")
 _MARK = r"[ ]?[\[({{<][ ]?(?:{})[ ]?[\])}}>][ ]?"
 _MARKED = re.compile("(?i)" + _MARK.format("at|@") + "|" + _MARK.format(r"dot|\."))
 _MARKED_HINT = re.compile(r"[\[({<][ ]?(?:at|@|dot|\.)[ ]?[\])}>]")
-_SPACED = re.compile(r"(?i)(?<![\w.%+-])[a-z0-9._%+-]+( at )[a-z0-9-]+((?:(?: dot |\.)[a-z0-9-]+)*)( dot )[a-z]{2,6}(?![\w-])")
-_SPACED_DOT = re.compile(r"(?i)[a-z0-9._%+-]+@[a-z0-9-]+(?:(?:\.| dot )[a-z0-9-]+)* dot [a-z]{2,6}(?![\w-])")
+_CHAIN = r"(?<![\w.%+-])(?<! dot )[a-z0-9._%+-]+(?: dot [a-z0-9._%+-]+)*"
+_SPACED = re.compile(rf"(?i)({_CHAIN}) at ([a-z0-9-]+(?:(?: dot |\.)[a-z0-9-]+)*(?: dot |\.)[a-z]{{2,6}})(?![\w-])")
+_SPACED_DOT = re.compile(rf"(?i){_CHAIN}@[a-z0-9-]+(?:(?:\.| dot )[a-z0-9-]+)*(?: dot |\.)[a-z]{{2,6}}(?![\w-])")
+# what tells an address from "we met at site.org" where the last dot is a plain one
+_NAME = re.compile(r"(?i)(?=.*[a-z])[a-z0-9-]+(?:(?:[._%+]| dot )[a-z0-9-]+)+")
+_CUE = re.compile(r"(?i)\b(?:e-?mail|mail|contact)(?: me| us)?[: ]+$")
+
 
 
 class Rewritten:
@@ -148,9 +153,13 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
     return [(*m.span(), "@" if "a" in m[0].lower() or "@" in m[0] else ".") for m in _MARKED.finditer(text)]
 
 
-def _spaced(text: str) -> list[tuple[int, int, str]]:
+def _spaced(text: str, undone: Callable[[int, int], bool] = lambda start, end: False) -> list[tuple[int, int, str]]:
+    """``undone`` tells whether an earlier step has put a character in between two places."""
     edits = []
     for m in [*_SPACED.finditer(text), *_SPACED_DOT.finditer(text)]:
+        if m.re is _SPACED and not (
+                " dot " in m[2].lower() or _NAME.fullmatch(m[1]) or undone(*m.span(2)) or _CUE.search(text, max(0, m.start() - 20), m.start())):
+            continue
         for part in re.finditer(r"(?i) (at|dot) ", m[0]):
             edits.append((m.start() + part.start(), m.start() + part.end(), "@" if part[1].lower() == "at" else "."))
     return sorted(set(edits))
@@ -163,10 +172,16 @@ def rewrite(text: str) -> Rewritten | None:
         out = Rewritten(text)
         out.replace(edits)
     low = out.text.lower() if out else text.lower()
-    for step, shows in ((_spelled, _SPELLED_HINT.search(low)), (_signs, _MARKED_HINT.search(low)), (_spaced, " dot " in low)):
+    for step, shows in ((_spelled, _SPELLED_HINT.search(low)), (_signs, _MARKED_HINT.search(low))):
         if shows and (edits := step(out.text if out else text)):
             out = out or Rewritten(text)
             out.replace(edits)
+    low = out.text.lower() if out else low
+    if " at " in low or " dot " in low:
+        edits = _spaced(out.text, lambda a, b: any(r[2] and c == "." for r, c in zip(out.runs[a:b], out.text[a:b]))) if out else _spaced(text)
+        if edits:
+            out = out or Rewritten(text)
+            out.replace(edits)
     return out
 
 
