@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK = 1 << 19  # bytes of text worked on at once; one longer text is a chunk of its own
 
@@ -101,6 +102,46 @@ def token_hash(word: bytes) -> int:
     return int(span_hashes(prefix_sums(data), np.array([0]), np.array([len(data)])).astype(np.int64)[0])
 
 
+_LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_LONG_WORD = 4096  # bytes; longer ones are hashed one by one
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte runs, eight bytes at a time; runs of equal length up to eight bytes never meet.
+
+    Every step mixes the state before the next bytes come in, so that no fixed pair of strings is known to meet,
+    as is the case for polynomials modulo a power of two.
+    """
+    sizes = ends - starts
+    state = mix((sizes + 1).astype(np.uint64) * _STEP)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    live = np.flatnonzero((sizes > 0) & (sizes <= _LONG_WORD))
+    at, left = starts[live], sizes[live]
+    while len(live):
+        state[live] = mix((state[live] ^ (lanes[at] & _LANE_MASKS[np.minimum(left, 8)])) + _STEP)
+        on = left > 8
+        live, at, left = live[on], at[on] + 8, left[on] - 8
+    for i in np.flatnonzero(sizes > _LONG_WORD):
+        state[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]])
+    return state
+
+
+def sequence_hashes(items: np.ndarray, length: int, salt: int = 0) -> np.ndarray:
+    """Hashes of all runs of ``length`` items, by doubling; runs may cross from one text into the next."""
+    count = len(items) - length + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
+    out, size = mix(items ^ np.uint64(salt)), 1
+
+    def joined(step: int) -> np.ndarray:
+        return mix(mix(out[:-step] + _STEP) ^ (out[step:] * np.uint64(_BASE | 1)))
+
+    while size * 2 <= length:
+        out, size = joined(size), size * 2
+    return joined(length - size) if size < length else out
+
+
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """All numbers of the ranges [start, start + count), one range after the other."""
     total = int(counts.sum())
