@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
-from spendlens.llm import langid, pii, positional, secrets, simhash, suffixes, suffixtree, topk, toxicity, wordtable
+from spendlens.llm import (
+    covers, divergence, langid, pii, positional, secrets, simhash, suffixes, suffixtree, topk, toxicity, tries, wordtable)
 
 QUERIES = {
     "op1_exact_top_k": topk.op1,
@@ -13,6 +14,14 @@ QUERIES = {
     "op8_benchmark_decontamination": positional.op8,
     "op9_bpe_word_table": wordtable.op9,
     "op10_suffix_dedup": suffixes.op10,
+    "op11_conversation_trie": tries.op11,
+    "op12_cover_dedup": covers.op12,
+    "op13_source_divergence": divergence.op13,
 }
 
-ORACLES: dict[str, str] = {"op1_exact_top_k": topk.SQL}
+ORACLES: dict[str, str] = {
+    "op1_exact_top_k": topk.SQL,
+    "op11_conversation_trie": tries.SQL,
+    "op12_cover_dedup": covers.SQL,
+    "op13_source_divergence": divergence.SQL,
+}
