@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import sys
+import time
+import zipfile
 from collections.abc import Callable
+from contextlib import contextmanager
+from functools import cache
 from pathlib import Path
 
+from pyspark import SparkContext
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -16,11 +21,11 @@ from spendlens import schemas
 from spendlens.functions import exprs
 from spendlens.operators import dedup, lookups, stats, temporal
 from spendlens.plans import (
-    binding, business, employees, events, governance, marts, projects, quality, runs, transactions, warehouse,
+    binding, business, employees, events, governance, marts, projects, quality, runs, transactions, versions, warehouse,
 )
 from spendlens.session import fresh_path, materialize
 from spendlens.sources import readers, writers
-from spendlens.streaming import event_stream
+from spendlens.streaming import committed, event_stream
 
 AS_OF = "2024-01-01"
 RETENTION_AS_OF = "2006-01-01"
@@ -121,6 +126,22 @@ def _scd2_overlaps_found(spark: SparkSession, d: str) -> DataFrame:
     return temporal.overlaps(changes, "employee_id", "employee_key")
 
 
+def _scd2_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The dimension from three deltas, changes in any order, people known late, and one delta applied twice."""
+    store = versions.VersionStore(spark, fresh_path(spark, "versions"), buckets=8)
+    history, people = materialize(binding.history(spark, d), "history"), materialize(binding.employees(spark, d), "employees")
+    part, late = F.col("history_id").cast("bigint") % 3, F.col("employee_id").cast("bigint") % 2 == 0
+    store.apply(history.where(part == 2), people.where(~late))
+    first = materialize(store.keys().withColumnRenamed("employee_key", "first_key"), "first-keys")
+    store.apply(history.where(part == 0), people.where(late))
+    for _ in range(2):
+        store.apply(history.where(part == 1), people.limit(0))
+    same = [F.col(f"k.{name}").eqNullSafe(F.col(f"f.{name}")) for name in ("employee_id", "present", "source_key")]
+    kept = store.keys().alias("k").join(first.alias("f"), same[0] & same[1] & same[2], "left").select(
+        "employee_key", (F.col("first_key").isNull() | (F.col("first_key") == F.col("employee_key"))).alias("key_kept"))
+    return store.dimension().join(kept, "employee_key").drop("employee_key")
+
+
 # ---- sources and sinks -------------------------------------------------------------------
 
 def _csv_projects(spark: SparkSession, d: str) -> DataFrame:
@@ -140,6 +161,44 @@ def _csv_layouts(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_projects(spark, f"{path}/*")
 
 
+def _csv_line_breaks(spark: SparkSession, d: str) -> DataFrame:
+    """Names with line breaks, quotes and commas in files of three layouts, read in ranges of 32 KB."""
+    path = fresh_path(spark, "csv-breaks")
+    name = F.concat(F.col("project_name"), F.when(F.col("project_id").cast("bigint") % 3 == 0, F.lit('\nsaid "so",\r\n\n')).otherwise(F.lit("")))
+    rows = binding.projects(spark, d).withColumn("project_name", name)
+    kind = F.col("project_id").cast("bigint") % 4
+    layouts = [rows.columns, [*reversed(rows.columns)], [c for c in rows.columns if c != "region"]]
+    for i, columns in enumerate(layouts):
+        writers.write_csv(rows.where(kind == i if i else kind.isin(0, 3)).select(*columns), f"{path}/{i}")
+    with _small_ranges(spark, 32 * 1024):
+        return materialize(readers.read_projects(spark, f"{path}/*"), "csv-breaks")
+
+
+def _json_array(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions as indented arrays, several to a file, read in ranges of 256 KB."""
+    path = fresh_path(spark, "json-array")
+    rows = binding.transactions(spark, d)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(8))
+    objects = rows.select(part.alias("part"), F.to_json(F.struct(*rows.columns), {"pretty": "true"}).alias("o"))
+    arrays = objects.groupBy("part").agg(F.concat(F.lit("[ "), F.array_join(F.collect_list("o"), "\n, "), F.lit("\n]")).alias("value"))
+    arrays.select("value").write.text(path)
+    with _small_ranges(spark, 256 * 1024):
+        raw = materialize(readers.read_transactions(spark, path), "json-array")
+    return raw.withColumn("amount", exprs.as_double(raw, "amount"))
+
+
+@contextmanager
+def _small_ranges(spark: SparkSession, size: int):
+    """Byte ranges that cut even small files, while a read is planned and run."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _json_transactions(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "json")
     binding.transactions(spark, d).write.json(path)
@@ -328,6 +387,73 @@ def _stream_clean_events(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{path}/out")
 
 
+def _played_back(spark: SparkSession, d: str, path: str) -> DataFrame:
+    """The events as four files of JSON lines, one per batch, whose earlier-dated copies come first, last and in between."""
+    rows = binding.events(spark, d)
+    # copies are an hour apart
+    part = F.coalesce((F.hour("timestamp") + F.minute("timestamp")) % 4, F.lit(0))
+    for i in range(4):
+        chosen = rows.where(part == i).coalesce(1)
+        chosen.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{path}/in")
+    return readers.stream_jsonl(spark, f"{path}/in", schemas.EVENTS, max_files_per_trigger=1)
+
+
+def _stream_corrected(spark: SparkSession, d: str) -> DataFrame:
+    """Cleaned by state and corrections, in whatever order copies come, with a restart after all is read."""
+    path = fresh_path(spark, "stream-corrected")
+    stream = _played_back(spark, d, path)
+    for _ in range(2):
+        committed.start_corrected(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return committed.corrected(spark, f"{path}/out").drop("payload")
+
+
+def _stream_router(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and critical escalations of one commit per batch, as a reader finds them."""
+    path = fresh_path(spark, "stream-router")
+    stream = _played_back(spark, d, path).withColumn("produced_at", F.col("timestamp"))
+    committed.start_router(stream, f"{path}/out", f"{path}/checkpoint", "platform-events").awaitTermination()
+    tables = committed.CommittedTables(spark, f"{path}/out")
+    sent = tables.all_batches("critical").groupBy("event_type").agg(F.count("*").alias("forwarded"))
+    total = tables.latest("summary").select("total_messages_consumed")
+    return tables.latest("counts").join(sent, "event_type", "left").join(F.broadcast(total))
+
+
+def _stream_progress(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each batch of a query that fails while it writes its third batch and is started again."""
+    path = fresh_path(spark, "stream-progress")
+    stream = _played_back(spark, d, path)
+    progress = committed.ProgressTable(spark, f"{path}/progress")
+    spark.streams.addListener(progress)
+    tables = committed.CommittedTables(spark, f"{path}/out")
+    fail = [True]
+
+    def save(rows: DataFrame, batch_id: int) -> None:
+        if batch_id == 2 and fail.pop():
+            rows.limit(10).write.mode("overwrite").parquet(tables.folder("events", batch_id))
+            raise RuntimeError("lost before the commit")
+        tables.commit(batch_id, {"events": rows})
+
+    try:
+        for attempt in range(2):
+            query = stream.writeStream.foreachBatch(save).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
+            try:
+                query.awaitTermination()
+            except StreamingQueryException:
+                if attempt:
+                    raise
+                fail.append(False)
+        # reports arrive after the batches they are about
+        deadline = time.monotonic() + 60
+        while len(progress.folder.names()) < 4 and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(progress)
+    written = tables.all_batches("events")
+    folder = F.regexp_extract(F.input_file_name(), r"batch-(\d+)", 1).cast("bigint")
+    kept = written.groupBy(folder.alias("batch_id")).agg(F.count("*").alias("committed_rows"))
+    return progress.read().select("batch_id", F.col("rows").alias("reported_rows")).join(kept, "batch_id").drop("batch_id")
+
+
 # ---- governance and runs -----------------------------------------------------------------
 
 def _retention_split(spark: SparkSession, d: str) -> DataFrame:
@@ -417,6 +543,7 @@ _QUERIES: dict[str, Query] = {
     "bridge_employee_project": _star(lambda w: w.bridge_employee_project),
     "fact_transactions": _star(lambda w: w.fact_transactions),
     "fact_asof_employee": _fact_asof_employee,
+    "scd2_incremental": _scd2_incremental,
     "scd2_multi_current": _star(lambda w: warehouse.multiple_current(w.dim_employee)),
     "scd2_version_counts": _star(lambda w: warehouse.version_counts(w.dim_employee)),
     "scd2_overlaps": _star(lambda w: warehouse.version_overlaps(w.dim_employee)),
@@ -451,6 +578,9 @@ _QUERIES: dict[str, Query] = {
     "stream_critical": _stream_critical,
     "stream_summary": _stream_summary,
     "stream_clean_events": _stream_clean_events,
+    "stream_corrected": _stream_corrected,
+    "stream_router": _stream_router,
+    "stream_progress": _stream_progress,
     # quality and profiling
     "dq_projects": _suite("projects"),
     "dq_employees": _suite("employees"),
@@ -471,6 +601,8 @@ _QUERIES: dict[str, Query] = {
     "contract_violations": _contract_violations,
     "csv_projects": _csv_projects,
     "csv_layouts": _csv_layouts,
+    "csv_line_breaks": _csv_line_breaks,
+    "json_array": _json_array,
     "json_transactions": _json_transactions,
     "jsonl_events": _jsonl_events,
     "partitioned_escalations": _partitioned_escalations,
@@ -506,24 +638,28 @@ def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         import corpus_pipeline
         from spendlens.llm import queries as operators
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "spendlens.llm"):
-            raise
+    except ImportError:
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     found = {**operators.QUERIES, "pipeline": corpus_pipeline.run}
     return {name: _importable(query) for name, query in found.items()}, {**operators.ORACLES, **sql}
 
 
-def _importable(query: Query) -> Query:
-    """Python workers import the package from beside this file, where it is not installed for them."""
-    here = str(Path(__file__).resolve().parent)
+@cache
+def _ship(context: SparkContext) -> None:
+    """Send the package to the Python workers of this application, on whichever nodes they run."""
+    here = Path(__file__).resolve().parent
+    # the driver serves it from the folder of its context, which goes with the application
+    archive = Path(context._temp_dir) / "spendlens_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((here / "spendlens").rglob("*.py")):
+            out.write(file, file.relative_to(here))
+    context.addPyFile(str(archive))
 
+
+def _importable(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        environment = spark.sparkContext.environment
-        known = environment.get("PYTHONPATH", "").split(os.pathsep)
-        if here not in known:
-            environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, known)])
+        _ship(spark.sparkContext)
         return query(spark, sf_dir)
 
     return run
@@ -534,7 +670,7 @@ def queries() -> dict[str, Query]:
     def plain(query: Query) -> Query:
         return lambda spark, sf_dir: _plain(query(spark, sf_dir))
 
-    return {name: plain(query) for name, query in _QUERIES.items()} | _training_data()[0]
+    return {name: _importable(plain(query)) for name, query in _QUERIES.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
