@@ -81,7 +81,9 @@ def _runs(hashes: np.ndarray, edges: np.ndarray, length: int) -> list[np.ndarray
     return [text, sequence_hashes(hashes, size)[places], whole, low, high]
 
 
-_ROW = ["doc", "bucket", "kind", "low", "high", "copies", "sent", "near"]
+# place holds the first and the last window, fate the copies in the batch (up to 2), whether the row is sent by its bucket, and near
+_ROW = ["doc", "bucket", "kind", "place", "fate"]
+_SENT, _NEAR = 4, 8
 
 
 def _spread(doc: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -127,12 +129,10 @@ def _batch(batch: pa.RecordBatch, found: list[np.ndarray], many: int) -> pa.Reco
     highs = np.concatenate([high[sent], high[near], gone_high])
     # what is not exchanged by its bucket is dealt out evenly
     even = _spread(row[len(sent):], lows[len(sent):])
+    fate = np.concatenate([copies | _SENT, np.full(len(near), _NEAR), np.full(len(gone), 2)])
     return pa.RecordBatch.from_arrays([
         batch.column(0).take(pa.array(row)), pa.array(np.concatenate([bucket[sent].view(np.int64), even])),
-        pa.array(np.concatenate([kind[sent].view(np.int64), none])), pa.array(lows.astype(np.int32)), pa.array(highs.astype(np.int32)),
-        pa.array(np.concatenate([copies, np.zeros(len(near), np.int64), np.full(len(gone), 2)]).astype(np.int32)),
-        pa.array(np.arange(len(row)) < len(sent)),
-        pa.array(np.concatenate([np.zeros(len(sent), bool), np.ones(len(near), bool), np.zeros(len(gone), bool)]))], names=_ROW)
+        pa.array(np.concatenate([kind[sent].view(np.int64), none])), pa.array(lows << 32 | highs), pa.array(fate.astype(np.int32))], names=_ROW)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], length: int, many: int) -> Iterator[pa.RecordBatch]:
@@ -174,7 +174,10 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int, many: int) -> Itera
 
 def _counted(rows: DataFrame, label: str) -> DataFrame:
     """(doc, low, high, gone, near): runs that repeat, and runs whose bucket has others."""
-    dealt = rows.repartition("bucket")
+    fate = F.col("fate")
+    dealt = rows.repartition("bucket").select(
+        "doc", "bucket", "kind", F.shiftright("place", 32).cast("int").alias("low"), F.col("place").cast("int").alias("high"),
+        fate.bitwiseAND(3).alias("copies"), (fate.bitwiseAND(_SENT) > 0).alias("sent"), (fate.bitwiseAND(_NEAR) > 0).alias("near"))
     kinds = Window.partitionBy("bucket", "sent", "kind")
     buckets = Window.partitionBy("bucket", "sent")
     counted = (
@@ -203,7 +206,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     """The documents as (doc, text), and runs (doc, low, high) of repeated windows by the words they start at."""
     rows, own = _documents(docs, key, text)
     kind = own.schema["doc"].dataType.simpleString()
-    schema = f"doc {kind}, bucket long, kind long, low int, high int, copies int, sent boolean, near boolean"
+    schema = f"doc {kind}, bucket long, kind long, place long, fate int"
     inside = _counted(own.mapInArrow(partial(_anchors, length=length, many=many), schema), "cover-runs")
     near = inside.where("near").groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
     asked = own.join(near.withColumnRenamed("doc", "doc_"), F.col("doc") == F.col("doc_")).select("doc", "text", "copies", "runs")

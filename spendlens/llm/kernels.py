@@ -96,12 +96,6 @@ def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
 
 
-def token_hash(word: bytes) -> int:
-    """The hash that :func:`span_hashes` gives to this run, as a signed number."""
-    data = np.frombuffer(word, np.uint8)
-    return int(span_hashes(prefix_sums(data), np.array([0]), np.array([len(data)])).astype(np.int64)[0])
-
-
 _LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _LONG_WORD = 4096  # bytes; longer ones are hashed one by one
 

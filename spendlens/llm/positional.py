@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from spendlens.llm.common import store, table
-from spendlens.llm.kernels import LETTER_OR_DIGIT, LOWER, prefix_sums, ranges, span_hashes, texts, words
+from spendlens.llm.kernels import LETTER_OR_DIGIT, LOWER, ranges, texts, word_hashes, words
 
 SIZE = 10
 SLOP = 2
@@ -33,7 +33,7 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Hashes of all words, and the number of words before each text edge."""
     data = LOWER[data]
     starts, ends, edges = words(data, offsets, LETTER_OR_DIGIT)
-    return span_hashes(prefix_sums(data), starts, ends).view(np.int64), edges
+    return word_hashes(data, starts, ends).view(np.int64), edges
 
 
 def windows(benchmark: DataFrame, key: str = "item_id", text: str = "text", size: int = SIZE) -> DataFrame:

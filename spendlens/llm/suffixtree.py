@@ -15,8 +15,7 @@ Texts are gathered in blocks of ``BLOCK`` bytes. Each round sends the different
 tasks that own the contexts, which add up counts, test, and answer. The pairs of a context seen more than ``FREQUENT`` times
 are dealt out in parts; their owners send sums and how often each count and probability occurs, from which one more small
 aggregation makes the same test, and all blocks get its verdicts. Counts cover all training texts. Symbols and contexts
-are 64-bit hashes, and symbols within a context 32-bit ones, as no owner has more than ``FREQUENT`` sightings of a context
-that is not frequent, and a small part of one that is. All symbols not seen in training are asked about as one, as they
+are 64-bit hashes; the owner of a symbol answers with a number that is its own, by which it is named within contexts. All symbols not seen in training are asked about as one, as they
 have the same probability after a context.
 
 Null texts are empty: they hold the end mark alone. Rows are scored one by one, so keys may be null or repeat. Without
@@ -34,7 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from spendlens.llm.common import in_fold, release, store, table
-from spendlens.llm.kernels import LOWER, NOT_SPACE, mix, prefix_sums, span_hashes, texts, words
+from spendlens.llm.kernels import LOWER, NOT_SPACE, mix, texts, word_hashes, words
+from spendlens.session import fresh_path
 
 DEPTH = 2
 BLOCK = 8 << 20
@@ -43,7 +43,6 @@ EXTEND = 4
 FREQUENT = 100_000  # sightings from which a context is dealt out in parts
 PARTS = 4  # of it for so many sightings
 _END, _BEGIN, _UNKNOWN = mix(np.array([11, 13, 17], np.uint64))
-_LOW = np.uint64((1 << 32) - 1)
 _STEPS = 8  # of one bit, in which probabilities are sent along
 _UNTESTED, _KEPT, _ONCE, _FREQUENT = 0, 1, 2, 3
 
@@ -95,12 +94,28 @@ def symbols(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
     for first, last, data, offsets in texts(column):
         data = LOWER[data]
         starts, ends, edges = words(data, offsets, NOT_SPACE)
-        hashes, counts = span_hashes(prefix_sums(data), starts, ends), np.diff(edges)
+        hashes, counts = word_hashes(data, starts, ends), np.diff(edges)
         out = np.full(len(hashes) + len(counts), _END, np.uint64)
         out[np.arange(len(hashes)) + np.repeat(np.arange(len(counts)), counts)] = hashes
         yield first, last, out, counts + 1
 
 
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places of the different keys, in order of key, and each place's key among them."""
+    bits = max(1, int(len(keys)).bit_length())
+    if int(keys.max(initial=0)) >> (63 - bits):
+        _, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        return first, inverse
+    # key and place in one number: one plain sort
+    packed = np.sort(keys << bits | np.arange(len(keys)))
+    ordered, places = packed >> bits, packed & ((1 << bits) - 1)
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    inverse = np.empty(len(keys), np.int64)
+    inverse[places] = np.cumsum(new) - 1
+    return places[new], inverse
+
+
 class Block:
     """Symbols of a block's texts, and what earlier rounds have answered about them."""
 
@@ -118,14 +133,19 @@ class Block:
             yield owner, dump(_steps(self.names[own]), counts[own])
 
     def root(self, answers: list[bytes], total: int, distinct: int) -> None:
-        counts = np.concatenate([np.zeros(0, np.uint64), *[load(a)[0] for a in answers]]).astype(np.int64)
+        found = [load(a) for a in answers]
+        counts, self.ids = (np.concatenate([np.zeros(0, np.uint64), *[f[i] for f in found]]).astype(np.int64) for i in (0, 1))
         self.total, self.count = total, counts[self.codes]
         self.base = self.p = (self.count + 1.0) / (total + distinct + 1)
         # how often the context of the next round was seen, and that context; texts begin as often as they end
         self.seen = self._before(self.count, self.count[self.starts + self.sizes - 1])
         self.context = self._before(self.symbols, _BEGIN)
         self.open = self.seen > 0
-        self.asked = np.where(self.count > 0, self.symbols, _UNKNOWN)
+        # contexts and symbols by numbers of this block; all symbols not seen in training are one, as is the begin mark
+        self.place = self._before(self.codes, len(self.names))
+        self.asked = np.where(self.count > 0, self.codes, len(self.names))
+        self.hashes = np.append(self.names, _UNKNOWN)
+        self.ids = np.append(self.ids, 0)
 
     def _before(self, values: np.ndarray, first) -> np.ndarray:
         out = np.empty_like(values)
@@ -136,19 +156,22 @@ class Block:
     def pairs(self) -> tuple[np.ndarray, ...]:
         """The different (context, symbol) pairs asked about, by owner, context and symbol, and each place's pair."""
         at = np.flatnonzero(self.open)
-        context, symbol = self.context[at], self.asked[at]
-        key = mix(context * np.uint64(3) ^ symbol)
-        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        first, inverse = _unique(self.place[at] * (len(self.names) + 1) + self.asked[at])
         n = np.bincount(inverse, weights=self.learned[at], minlength=len(first))
-        context, symbol, seen, p = context[first], symbol[first], self.seen[at][first], self.p[at][first]
+        where = at[first]
+        context, code, seen, p, place = self.context[where], self.asked[where], self.seen[where], self.p[where], self.place[where]
+        symbol = self.hashes[code]
         frequent = seen > self.frequent
         part = mix(symbol) % (1 + seen * PARTS // self.frequent).astype(np.uint64)
-        owner = _owner(np.where(frequent, mix(context ^ mix(part)), context), self.owners)
-        symbol = symbol & _LOW
-        order = np.lexsort((symbol, context, owner))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        return at, place[inverse], owner[order], context[order], symbol[order], n[order], seen[order], p[order]
+        owner = _owner(np.where(frequent, mix(context ^ mix(part)), context), self.owners).astype(np.int64)
+        # pairs come by context; the few different contexts are ranked by their hashes, then all pairs by owner and rank
+        heads, sizes = _groups(place)
+        rank = np.empty(len(heads), np.int64)
+        rank[np.argsort(context[heads])] = np.arange(len(heads))
+        order, _ = _unique((owner * max(1, len(heads)) + np.repeat(rank, sizes)) * max(1, len(first)) + np.arange(len(first)))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return at, back[inverse], owner[order], context[order], self.ids[code][order], n[order], seen[order], p[order]
 
     def request(self) -> Iterator[tuple[int, bytes]]:
         _, _, owner, context, symbol, n, seen, p = self.pairs()
@@ -182,20 +205,29 @@ class Block:
         seen[at] = n.astype(np.int64)
         begins = np.zeros(len(p), bool)
         begins[self.starts] = True
+        # a place whose context was seen in this round has it as the pair of the place before
+        pairs = np.full(len(p), 0, np.int64)
+        pairs[at] = pair
+        self.place = self._before(pairs, 0)
         self.context = mix(self._before(self.context, np.uint64(0)) * np.uint64(5) + self._before(self.symbols, np.uint64(0)))
         self.seen = self._before(seen, 0)
         # the suffix without its first symbol was the context of this round; few sightings need no longer context
         self.open = self.open & ~begins & (self.seen > 0) & (shorter >= EXTEND)
 
 
-def _count_symbols(requests: pa.Table) -> pa.Table:
-    asked = [load(x) for x in requests["payload"].to_pylist()]
-    names = [np.cumsum(a, dtype=np.uint64) for a, _ in asked]
-    known, inverse = np.unique(np.concatenate(names), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate([n for _, n in asked]).astype(float), minlength=len(known))
-    edges = np.cumsum([0, *map(len, names)])
-    payloads = [dump(total[inverse[a:b]]) for a, b in zip(edges[:-1], edges[1:])]
-    return _answers(requests, payloads, (total.sum(), (total > 0).sum()), [])
+def _counting(owners: int):
+    def run(requests: pa.Table) -> pa.Table:
+        """Counts of symbols, and a number for each that no other symbol has."""
+        asked = [load(x) for x in requests["payload"].to_pylist()]
+        names = [np.cumsum(a, dtype=np.uint64) for a, _ in asked]
+        known, inverse = np.unique(np.concatenate(names), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([n for _, n in asked]).astype(float), minlength=len(known))
+        edges = np.cumsum([0, *map(len, names)])
+        owner = requests["owner"][0].as_py()
+        payloads = [dump(total[inverse[a:b]], inverse[a:b] * owners + owner + 1) for a, b in zip(edges[:-1], edges[1:])]
+        return _answers(requests, payloads, (total.sum(), (total > 0).sum()), [])
+
+    return run
 
 
 _ANSWER = "block long, owner int, payload binary, sum0 double, sum1 double, context long"
@@ -366,8 +398,16 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
     # bucketed by block, so that no round has to move the texts again
     blocks = f"lm_blocks_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _split(docs, learned, key, text, block).write.bucketBy(buckets, "block").option("compression", "zstd").saveAsTable(blocks)
-    state = spark.table(blocks)
+    saved = _split(docs, learned, key, text, block).write.bucketBy(buckets, "block").option("compression", "zstd")
+    saved.option("path", fresh_path(spark, "lm-blocks")).saveAsTable(blocks)
+    try:
+        return _scored(spark.table(blocks), owners, depth, frequent)
+    finally:
+        spark.sql(f"DROP TABLE {blocks}")
+
+
+def _scored(state: DataFrame, owners: int, depth: int, frequent: int) -> DataFrame:
+    spark = state.sparkSession
     answers, totals = None, []
 
     def add(more: DataFrame) -> None:
@@ -380,7 +420,7 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
         release(spark)
 
     asked = state.drop("keys").mapInArrow(_first_requests(owners), "block long, owner int, payload binary")
-    add(asked.groupBy("owner").applyInArrow(_count_symbols, _ANSWER))
+    add(asked.groupBy("owner").applyInArrow(_counting(owners), _ANSWER))
     for _ in range(depth):
         asked = state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _asking(owners, frequent, list(totals)), "block long, owner int, payload binary")
@@ -398,9 +438,7 @@ def scores(docs: DataFrame, learned: F.Column, key: str = "doc_id", text: str =
 
     found = state.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    found = store(found, "lm-scores")
-    spark.sql(f"DROP TABLE {blocks}")
-    return found
+    return store(found, "lm-scores")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

@@ -82,3 +82,12 @@ def test_digest(spark):
     docs, items = frames(spark, [(1, "a b")], [(2, "b"), (10, "a")])
     assert positional.hits(positional.contamination(docs, items)).first()["items"] == ["10", "2"]
     assert hashlib.sha256(b"10,2").hexdigest()
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    thue = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, f"one {thue} two"), (2, f"one {other} two")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", other)], "item_id string, text string")
+    found = {r["key"]: len(r["matches"]) for r in positional.contamination(docs, items).collect()}
+    assert found == {1: 0, 2: 1}

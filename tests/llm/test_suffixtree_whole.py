@@ -1,9 +1,8 @@
 import math
-from collections import Counter, defaultdict
 
 import pytest
 from spendlens.llm import suffixtree
-from tests.llm.test_suffixtree import sample, spark_rows, split
+from tests.llm.test_suffixtree import brute, sample, spark_rows
 
 
 @pytest.mark.parametrize("frequent", [3, 30])
@@ -28,49 +27,6 @@ def test_unknown_words_are_smoothed_by_the_context_before_them(spark):
         assert row[4] == pytest.approx(math.log10(first) + math.log10(unknown) + math.log10(last), rel=1e-9)
 
 
-def brute(rows, learned, depth):
-    """Base score and score of each text by the rules of the module, from nested counts."""
-    train = [split(t) for t, y in zip(rows, learned) if y]
-    c = Counter(w for t in train for w in t[1:])
-    total, distinct = sum(c.values()), len(c)
-    counts = [defaultdict(Counter) for _ in range(depth + 1)]
-    for t in train:
-        for i in range(1, len(t)):
-            for d in range(1, min(depth, i) + 1):
-                counts[d][tuple(t[i - d:i])][t[i]] += 1
-    kept = [{} for _ in range(depth + 1)]
-
-    def p(context, w, d):
-        value = (c[w] + 1) / (total + distinct + 1)
-        for e in range(1, min(d, len(context)) + 1):
-            s = tuple(context[-e:])
-            if s in kept[e]:
-                n, k = kept[e][s]
-                value = (counts[e][s][w] + k * value) / (n + k)
-        return value
-
-    for d in range(1, depth + 1):
-        tested = {s: f for s, f in counts[d].items() if d == 1 or sum(counts[d - 1][s[1:]].values()) >= suffixtree.EXTEND}
-        twice = [len(f) for f in tested.values() if sum(f.values()) == 2]
-        for s, follow in tested.items():
-            n, types, gain = sum(follow.values()), len(follow), 0
-            if n == 1:
-                kept[d][s] = (1, (twice.count(2) + 1) / (twice.count(1) + 1))
-                continue
-            for w, m in follow.items():
-                q = 2 ** -(round(-math.log2(p(s, w, d - 1)) * 8) / 8)
-                k = types - (m == 1)
-                gain += m * math.log2((m - 1 + k * q) / (n - 1 + k) / q)
-            if gain > suffixtree.LEAST:
-                kept[d][s] = (n, types)
-    out = []
-    for text in rows:
-        t = split(text)
-        base = sum(math.log10((c[w] + 1) / (total + distinct + 1)) for w in t[1:])
-        out.append((len(t) - 1, sum(c[w] > 0 for w in t[1:]), total, base, sum(math.log10(p(t[:i], t[i], depth)) for i in range(1, len(t)))))
-    return out
-
-
 @pytest.mark.parametrize(("depth", "block", "frequent"), [(2, 600, 100_000), (2, 8 << 20, 30)])
 def test_matches_the_rules_without_shortcuts(spark, depth, block, frequent):
     rows, learned = sample(depth)
