@@ -176,7 +176,7 @@ def _counted(rows: DataFrame, label: str) -> DataFrame:
     """(doc, low, high, gone, near): runs that repeat, and runs whose bucket has others."""
     fate = F.col("fate")
     dealt = rows.repartition("bucket").select(
-        "doc", "bucket", "kind", F.shiftright("place", 32).cast("int").alias("low"), F.col("place").cast("int").alias("high"),
+        "doc", "bucket", "kind", F.shiftright("place", 32).cast("int").alias("low"), F.col("place").bitwiseAND((1 << 32) - 1).cast("int").alias("high"),
         fate.bitwiseAND(3).alias("copies"), (fate.bitwiseAND(_SENT) > 0).alias("sent"), (fate.bitwiseAND(_NEAR) > 0).alias("near"))
     kinds = Window.partitionBy("bucket", "sent", "kind")
     buckets = Window.partitionBy("bucket", "sent")
