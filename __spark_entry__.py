@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import sys
 import time
 import zipfile
@@ -73,6 +74,11 @@ def _on_events(query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: query(_clean_events(spark, d))
 
 
+def _without_payload(query: Callable[[DataFrame], DataFrame]) -> Query:
+    """Copies that differ in their payload alone are equal without it, so reports that need none leave it out before the cleaning."""
+    return lambda spark, d: query(events.validate_events(binding.events(spark, d).drop("payload")))
+
+
 # ---- cleaning ----------------------------------------------------------------------------
 
 def _projects_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -111,6 +117,13 @@ def _fact_asof_employee(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _fact_asof_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The same versions, found by sorting days and versions together."""
+    rows = binding.transactions(spark, d).select("transaction_id", "approved_by", "transaction_date")
+    found = temporal.as_of(rows, binding.warehouse(spark, d).dim_employee, "approved_by", "transaction_date", "employee_id", "employee_key")
+    return lookups.spread_join(rows, found, ["approved_by", "transaction_date"])
+
+
 def _scd2_end_date(spark: SparkSession, d: str) -> DataFrame:
     """Versions closed by the file's own end date: here 30 days after each change."""
     history = binding.history(spark, d).withColumn("end_date", F.date_add("effective_date", 30))
@@ -244,6 +257,21 @@ def _contract_violations(spark: SparkSession, d: str) -> DataFrame:
     return writers.contract_violations(binding.projects(spark, d), contract, ["project_id", "department"])
 
 
+def _table_digest(spark: SparkSession, d: str) -> DataFrame:
+    """Clean events written and read back whole; a copy that lacks one file of them is found out."""
+    path = fresh_path(spark, "digest")
+    rows = _clean_events(spark, d).repartition(4, "event_id")
+    written = writers.write_verified(rows, path)
+    whole = spark.read.schema(rows.schema).parquet(path)
+    missing_one = spark.read.schema(rows.schema).parquet(*sorted(whole.inputFiles())[1:])
+    try:
+        writers.check_digest(missing_one, written, path)
+        found_out = False
+    except ValueError:
+        found_out = True
+    return whole.agg(F.count("*").alias("row_count")).withColumn("truncation_found", F.lit(found_out))
+
+
 def _first_events(spark: SparkSession, d: str) -> DataFrame:
     return readers.first_events(_clean_events(spark, d), 1000).select("event_id", "event_type", "timestamp")
 
@@ -319,7 +347,7 @@ def _gate(spark: SparkSession, d: str) -> DataFrame:
 def _project_orphans(spark: SparkSession, d: str) -> DataFrame:
     """Projects that no transaction refers to."""
     return lookups.orphan_keys(
-        binding.projects(spark, d), "project_id", binding.transactions(spark, d), "project_id"
+        binding.projects(spark, d), "project_id", binding.transactions(spark, d), "project_id", lookups.FILTER_BITS
     )
 
 
@@ -464,6 +492,32 @@ def _retention_split(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _event_retention(spark: SparkSession, d: str) -> DataFrame:
+    """Events by state: kept a year, archived for two more, then expired."""
+    as_of = binding.events(spark, d).agg(F.min("timestamp").alias("t")).first().t + datetime.timedelta(days=380)
+    tagged = governance.event_retention(binding.events(spark, d), as_of.date().isoformat())
+    return tagged.groupBy("retention_state").agg(F.count("*").alias("row_count"))
+
+
+def _project_retention(spark: SparkSession, d: str) -> DataFrame:
+    column, years = governance.RETENTION_YEARS["projects"]
+    kept, expired = governance.retention_split(binding.projects(spark, d), column, years, RETENTION_AS_OF)
+    counted = [part.agg(F.count("*").alias("row_count"), F.count(column).alias("dated")).withColumn("part", F.lit(name))
+               for name, part in (("kept", kept), ("expired", expired))]
+    return counted[0].unionByName(counted[1])
+
+
+def _catalog_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Classification of every column the tables have, with its missing cells."""
+    return governance.catalog(spark).join(_null_counts(spark, d), ["dataset", "column_name"])
+
+
+def _produced_events(spark: SparkSession, d: str) -> DataFrame:
+    """Every event handed on carries the time of it."""
+    return event_stream.stamp_produced(binding.events(spark, d)).groupBy("event_type").agg(
+        F.count("*").alias("row_count"), F.count("produced_at").alias("stamped"))
+
+
 def _persona(dataset: str, persona: str) -> Query:
     return lambda spark, d: governance.persona_view(_tables(spark, d)[dataset], dataset, persona)
 
@@ -543,6 +597,7 @@ _QUERIES: dict[str, Query] = {
     "bridge_employee_project": _star(lambda w: w.bridge_employee_project),
     "fact_transactions": _star(lambda w: w.fact_transactions),
     "fact_asof_employee": _fact_asof_employee,
+    "fact_asof_merge": _fact_asof_merge,
     "scd2_incremental": _scd2_incremental,
     "scd2_multi_current": _star(lambda w: warehouse.multiple_current(w.dim_employee)),
     "scd2_version_counts": _star(lambda w: warehouse.version_counts(w.dim_employee)),
@@ -567,12 +622,12 @@ _QUERIES: dict[str, Query] = {
     "pending_detail": _star(lambda w: business.pending_detail(
         w.fact_transactions, w.dim_project, w.dim_employee, w.dim_date)),
     # events
-    "events_clean": lambda spark, d: _clean_events(spark, d).drop("payload"),
-    "project_activity": _on_events(events.project_activity_summary),
-    "user_activity": _on_events(events.user_activity_summary),
+    "events_clean": _without_payload(lambda clean: clean),
+    "project_activity": _without_payload(events.project_activity_summary),
+    "user_activity": _without_payload(events.user_activity_summary),
     "escalation_log": _on_events(events.escalation_log),
-    "daily_volume": _on_events(events.daily_event_volume),
-    "peak_usage": _on_events(events.peak_usage_analysis),
+    "daily_volume": _without_payload(events.daily_event_volume),
+    "peak_usage": _without_payload(events.peak_usage_analysis),
     # streaming
     "stream_event_counts": _stream_event_counts,
     "stream_critical": _stream_critical,
@@ -602,6 +657,7 @@ _QUERIES: dict[str, Query] = {
     "csv_projects": _csv_projects,
     "csv_layouts": _csv_layouts,
     "csv_line_breaks": _csv_line_breaks,
+    "table_digest": _table_digest,
     "json_array": _json_array,
     "json_transactions": _json_transactions,
     "jsonl_events": _jsonl_events,
@@ -620,6 +676,10 @@ _QUERIES: dict[str, Query] = {
     "masked_employees": lambda spark, d: governance.mask_employees(binding.employees(spark, d)),
     "perturbed_salaries": lambda spark, d: governance.perturb_salaries(binding.employees(spark, d)),
     "retention_split": _retention_split,
+    "event_retention": _event_retention,
+    "project_retention": _project_retention,
+    "catalog_nulls": _catalog_nulls,
+    "produced_events": _produced_events,
     "persona_view": _persona("employees", "bi_analyst"),
     "persona_engineer": _persona("employees", "data_engineer"),
     "persona_aggregated": _persona("transactions", "bi_analyst"),

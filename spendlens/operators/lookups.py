@@ -46,12 +46,39 @@ def key_text(column: Column) -> Column:
     return F.trim(exprs.blank_to_null(column, exprs.FK_NULL_TOKENS))
 
 
+FILTER_BITS = 1 << 26
+
+
+def _filter_place(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+
+
+def key_filter(parents: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """(bucket, bits): the hashes of all keys as bitmaps of 4 KB, ``bits / 8`` bytes together however many keys there are."""
+    place = _filter_place(F.col(key), bits)
+    return parents.where(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+
+
+def maybe_known(keys: DataFrame, key: str, known: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``keys`` with the flag ``_maybe``: false where the filter proves that the key is not among the parents."""
+    place = _filter_place(F.col(key), bits)
+    position = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.expr("shiftright(_byte, cast(_position % 8 as int)) & 1") == 1
+    probed = keys.withColumns({"_bucket": F.bitmap_bucket_number(place), "_position": position})
+    # the filter's size is bounded by its bits
+    return probed.join(F.broadcast(known), "_bucket", "left").withColumn("_byte", byte).withColumn(
+        "_maybe", F.coalesce(is_set, F.lit(False))).drop("_bucket", "_position", "_bits", "_byte")
+
+
 def orphan_keys(
-    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
+    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, filter_bits: int | None = None
 ) -> DataFrame:
     """Child keys without a parent and how many rows carry each.
 
-    The child is counted per key before the shuffle, so a hot key is one row by then.
+    The child is counted per key before the shuffle, so a hot key is one row by then. With ``filter_bits`` a filter of the
+    parents' keys comes first: what it rejects is an orphan for certain, and only the rest is joined.
     """
     keys = (
         child.select(key_text(F.col(child_key)).alias(child_key))
@@ -59,7 +86,11 @@ def orphan_keys(
         .groupBy(child_key).agg(F.count("*").alias("row_count"))
     )
     parents = parent.select(F.trim(F.col(parent_key).cast("string")).alias(child_key))
-    return keys.join(parents, child_key, "left_anti")
+    if not filter_bits:
+        return keys.join(parents, child_key, "left_anti")
+    sifted = maybe_known(keys, child_key, key_filter(parents, child_key, filter_bits), filter_bits)
+    joined = sifted.where("_maybe").join(parents, child_key, "left_anti")
+    return sifted.where("NOT _maybe").unionByName(joined).drop("_maybe")
 
 
 def counts_by(df: DataFrame, columns: Sequence[str], name: str = "row_count") -> DataFrame:

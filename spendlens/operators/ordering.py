@@ -76,6 +76,49 @@ def running_total(rows: DataFrame, groups: Sequence[str], value: Column, name: s
     )
 
 
+def last_known(rows: DataFrame, groups: Sequence[str], value: Column, name: str) -> DataFrame:
+    """The latest non-null ``value`` of the group up to and including the row, over the borders of ranges.
+
+    ``rows`` must be ordered by the groups first. One row per range and group piece travels between ranges.
+    """
+    boxed = F.when(value.isNotNull(), F.struct(value.alias("value")))
+    valued = rows.withColumn("_value", boxed)
+    within = (
+        Window.partitionBy(PART, *groups).orderBy(POSITION)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    pieces = valued.where(F.col("_value").isNotNull()).groupBy(PART, *groups).agg(F.max_by("_value", POSITION).alias("_piece"))
+    # only the last group of a range goes on in the next one, so one value per range is carried: that of its last group
+    ends = rows.groupBy(PART).agg(F.max(POSITION).alias(POSITION))
+    last_groups = rows.join(F.broadcast(ends), [PART, POSITION]).select(PART, *groups)
+    known = last_groups.alias("g").join(
+        pieces.alias("p"), (F.col(f"g.{PART}") == F.col(f"p.{PART}")) & _same_groups("g", "p", groups), "left",
+    ).select(F.col(f"g.{PART}").alias(PART), *[F.col(f"g.{group}").alias(group) for group in groups], "_piece")
+    # a group may cover whole ranges that say nothing of it
+    earlier = Window.partitionBy(*groups).orderBy(PART).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = known.withColumn("_piece", F.last("_piece", ignorenulls=True).over(earlier))
+    following_part = F.lead(PART).over(Window.orderBy(PART))
+    parts = rows.select(PART).distinct().select(PART, following_part.alias("_carry_part"))
+    carried = so_far.join(F.broadcast(parts), PART).where(F.col("_piece").isNotNull() & F.col("_carry_part").isNotNull()).select(
+        "_carry_part", *[F.col(group).alias(f"_carry_{group}") for group in groups], F.col("_piece").alias("_carry"))
+    same_piece = F.col(PART) == F.col("_carry_part")
+    for group in groups:
+        same_piece &= F.col(group).eqNullSafe(F.col(f"_carry_{group}"))
+    return (
+        valued.withColumn("_within", F.last("_value", ignorenulls=True).over(within))
+        .join(F.broadcast(carried), same_piece, "left")
+        .withColumn(name, F.coalesce("_within", "_carry").getField("value"))
+        .select(*rows.columns, name)
+    )
+
+
+def _same_groups(left: str, right: str, groups: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for group in groups:
+        same &= F.col(f"{left}.{group}").eqNullSafe(F.col(f"{right}.{group}"))
+    return same
+
+
 def cumulate(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
     """Sum of ``value`` per group along a total order, up to and including the row."""
     return without_order(running_total(ordered(df, *groups, *order), groups, value, name))

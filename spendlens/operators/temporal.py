@@ -1,6 +1,6 @@
 """Closed-open validity intervals: versions, point-in-time lookup, overlaps."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from spendlens.operators import lookups, ordering
 
@@ -46,6 +46,37 @@ def point_in_time(
     )
 
 
+def as_of(
+    probes: DataFrame,
+    versions: DataFrame,
+    key: str,
+    day: str,
+    version_key: str,
+    value: str,
+) -> DataFrame:
+    """For each distinct (key, day) of ``probes`` the version valid on that day, by one merge of both sides.
+
+    Probes and versions are sorted together by key and day, and every probe takes the last version started before it, if that still holds.
+    No version meets more than its own place in the order, so a key with any number of days and versions is spread over
+    the ranges of the sort. Versions of a key must not overlap, as those of a Type 2 dimension; see :func:`point_in_time` for others.
+    """
+    days = probes.select(F.col(key).alias("_key"), F.col(day).alias("_day")).where(
+        F.col("_key").isNotNull() & F.col("_day").isNotNull()
+    ).distinct().withColumns({"_probe": F.lit(True), "_version": F.lit(None).cast(_version_type(versions, value))})
+    starts = versions.where(F.col("valid_from") < F.col("valid_to")).select(
+        F.col(version_key).alias("_key"), F.col("valid_from").alias("_day"), F.lit(False).alias("_probe"),
+        F.struct(F.col("valid_to").alias("to"), F.col(value).alias("value")).alias("_version"))
+    # a version holds from its first day on, so it comes before the probes of that day
+    rows = ordering.ordered(days.unionByName(starts), "_key", "_day", "_probe", "_version")
+    found = ordering.last_known(rows, ["_key"], F.col("_version"), "_last").where("_probe")
+    holds = F.col("_day") < F.col("_last.to")
+    return found.where(holds).select(F.col("_key").alias(key), F.col("_day").alias(day), F.col("_last.value").alias(value))
+
+
+def _version_type(versions: DataFrame, value: str) -> T.StructType:
+    return T.StructType([T.StructField("to", versions.schema["valid_to"].dataType), T.StructField("value", versions.schema[value].dataType)])
+
+
 def temporal_left_join(
     facts: DataFrame,
     versions: DataFrame,

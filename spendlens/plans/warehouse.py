@@ -8,6 +8,7 @@ from spendlens import schemas
 from spendlens.functions import exprs
 from spendlens.operators import dedup, lookups, ordering, temporal
 from spendlens.plans.employees import DEFAULT_DOMAIN
+from spendlens.session import materialize
 from spendlens.sources.writers import enforce_schema
 
 CALENDAR = ("2020-01-01", "2026-12-31")  # fixed values: default bounds of dim_date
@@ -17,10 +18,10 @@ UNKNOWN_EMPLOYEE_KEY = 1  # fixed value: key given to facts without a known appr
 def _keyed(df: DataFrame, key: str, natural_key: str) -> DataFrame:
     """Dense surrogate key along the natural key; the first row of a repeated key is kept.
 
-    The sorted rows are stored once. Repeats are looked for in that copy, so unique input is
-    shuffled a single time.
+    The rows are stored before the sort, which reads them twice: for the borders of its ranges, and to move them. Repeats are
+    looked for in the sorted copy, so unique input is shuffled a single time.
     """
-    rows = ordering.ordered(df, natural_key)
+    rows = ordering.ordered(materialize(df, "unsorted"), natural_key)
     unique = dedup.unique_by(rows, natural_key)
     if unique is not rows:
         rows = ordering.ordered(ordering.without_order(unique), natural_key)

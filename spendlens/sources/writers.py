@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
@@ -73,6 +73,33 @@ def write_lines(spark: SparkSession, lines: Sequence[str], path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").text(path)
 
 
+def table_digest(df: DataFrame) -> list[Column]:
+    """Rows, and the sum of their hashes: the same for any order and any cut into files."""
+    def hashable(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+    values = [hashable(field) for field in df.schema.fields]
+    # nulls are left out of a hash, so their places are hashed as well
+    places = F.concat_ws(",", *[F.isnull(value).cast("string") for value in values])
+    return [F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(*values, places).cast("decimal(38,0)")), F.lit(0)).alias("digest")]
+
+
+def write_verified(df: DataFrame, path: str, mode: str = "overwrite") -> dict[str, object]:
+    """Write a Parquet table, take its digest on the way, and raise unless what can be read back has the same."""
+    observed = Observation()
+    df.observe(observed, *table_digest(df)).write.mode(mode).parquet(path)
+    wanted = {name: observed.get[name] for name in ("rows", "digest")}
+    check_digest(df.sparkSession.read.schema(df.schema).parquet(path), wanted, path)
+    return wanted
+
+
+def check_digest(df: DataFrame, wanted: Mapping[str, object], path: str) -> None:
+    found = df.agg(*table_digest(df)).first().asDict()
+    if any(int(found[name]) != int(wanted[name]) for name in ("rows", "digest")):
+        raise ValueError(f"{path} holds {found['rows']} rows of digest {found['digest']}, {wanted['rows']} of {wanted['digest']} were written")
+
+
 def verify_output(spark: SparkSession, path: str, file_format: str = "parquet") -> None:
     """Raise unless ``path`` can be read and holds at least one row."""
     reader = spark.read.format(file_format)
