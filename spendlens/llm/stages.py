@@ -17,9 +17,10 @@ def _unused(docs: DataFrame, name: str) -> str:
 
 
 def _marked(docs: DataFrame) -> tuple[DataFrame, str]:
-    """The documents with a column that stands for doc_id and text."""
+    """The documents with a column that stands for doc_id and text: a digest of 256 bits of both, with nulls told from empty texts."""
     mark = _unused(docs, "_mark")
-    return docs.withColumn(mark, F.xxhash64("doc_id", "text")), mark
+    parts = [F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(c).cast("string"))) for c in ("doc_id", "text")]
+    return docs.withColumn(mark, F.sha2(F.concat(parts[0], F.lit("\x00"), parts[1]), 256)), mark
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
