@@ -1,8 +1,9 @@
 """Secret findings, with false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` characters of keys, paths and addresses that holds a digit, cut after its last
-assignment to a name; or a value of any length and make that is assigned to a name of a credential, or stands as the password
-in an address. Its features
+A candidate is a run of at least ``SHORTEST`` characters of keys, paths and addresses that holds a digit or goes ``TURNS`` times
+from small to capital letters or back, cut after its last
+assignment to a name; or a value of any length and make that is assigned to a name of a credential, in quotes with blanks and any letters; or the password
+in an address, or the body of a private key block. Its features
 are its length and its shares of character classes; how often its characters change class, and how unlikely its
 transitions are among all letter and digit pairs of the corpus; the share of it that frequent short words of the corpus
 cover; marks of paths and addresses in it and before it; and the words beside it. The forest (Spark ML) learns from
@@ -30,6 +31,7 @@ from spendlens.llm.common import store, table
 from spendlens.llm.kernels import LOWER, texts
 
 SHORTEST = 16
+TURNS = 6
 TREES = 40
 DEPTH = 6
 SEED = 7
@@ -44,8 +46,9 @@ _CREDENTIAL = frozenset("token secret key apikey password passwd pwd credential
 _DIGEST = frozenset("sha sha1 sha256 md5 digest checksum hash commit revision uuid guid etag card phone mail email http https www".split())
 _ADDRESS = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://|^(?:~|\.{1,2})?/|^[^@]+@[\w-]+(?:\.[\w-]+)+$|\.[a-z]{2,}(?:/|$)")
 _NAMED = re.compile(
-    rf"(?i)(?<![a-z])(?:{'|'.join(sorted(_CREDENTIAL, key=len, reverse=True))})[\"'`]?[ \t]*(?:[:=]=|=>|[:=])(?!//)[ \t]*"
-    r"(?:[\"'`](?P<quoted>[!-~]*?)[\"'`]|(?P<bare>[A-Za-z0-9+/=_.@:~%!#$^*?-]+))")
+    rf"(?i)(?<![a-z])(?:{'|'.join(sorted(_CREDENTIAL, key=len, reverse=True))})[\"'`]?[ \t]*(?>[:=]=|=>|[:=])(?!//)[ \t]*"
+    r"(?:(?P<mark>\"\"\"|'\'\'|[\"'`])(?P<quoted>(?:\\.|(?!(?P=mark))[^\\\r\n])*)(?P=mark)|(?P<bare>[\w+/=.@:~%!#$^*?-]+))")
+_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*(?P<value>[A-Za-z0-9+/=\s:,-]+?)\s*-----END")
 _PASSWORD = re.compile(r"://[^\s/:@\"'`]*:(?P<value>[!#-&(-.0-?A-_a-~]+)@")
 _CUT = re.compile(r".*(?<![A-Za-z0-9_.-])[A-Za-z_][A-Za-z0-9_.-]*(?:=+(?=[^=])|:(?!//))")
 _BUCKETS = 8
@@ -109,7 +112,7 @@ def coverage(value: str, words: frozenset[str]) -> float:
 def features(value: str, before: str, after: str, known: Corpus) -> list[float]:
     kinds = [_class(c) for c in value]
     n, counts = len(value), Counter(value)
-    codes = _CODE[np.frombuffer(value.lower().encode("ascii"), np.uint8)]
+    codes = _CODE[np.frombuffer(value.lower().encode("utf-8", "replace"), np.uint8)]
     words = [w.lower() for w in _TOKEN.findall(before)[-3:]]
     near = set(words) | {w.lower() for w in _TOKEN.findall(after)[:1]}
     last = before.rstrip("\"'` ")
@@ -135,16 +138,24 @@ def verdict(value: str, before: str, after: str = "") -> int | None:
     last = before.rstrip("\"'` ")[-1:]
     if _DIGEST & set(words) and not (words[-1] in _CREDENTIAL and last in ("=", ":", ">")):
         return 0
+    if before.rstrip().endswith("PRIVATE KEY-----"):
+        return 1
     if after[:1] == "@" and re.search(r"://[^\s/:@]*:$", before):
         return 1
     if last in ("=", ":", ">") and _CREDENTIAL & set(words):
         prose = last == ":" and before[-1:] not in ("\"", "'", "`") and value.isalpha()
+        prose |= last == ":" and any(c.isspace() for c in value)  # a quoted sentence
         return None if value.isdigit() or prose else 1
     if _ADDRESS.search(value) or value.isdigit() or not any(c.isalpha() for c in value):
         return 0
     return None
 
 
+def _turns(value: str) -> int:
+    letters = [c.isupper() for c in value if c.isalpha()]
+    return sum(a != b for a, b in zip(letters, letters[1:]))
+
+
 def found_in(text: str) -> list[tuple[int, int]]:
     """Spans of the candidates, by place and without overlaps; assigned values and passwords come before runs."""
     named = []
@@ -152,7 +163,7 @@ def found_in(text: str) -> list[tuple[int, int]]:
         a, b = m.span("quoted" if m["bare"] is None else "bare")
         b = a + len(text[a:b].rstrip(".:!?")) if m["bare"] is not None else b
         named.append((a, b))
-    named = sorted({*named, *[m.span("value") for m in _PASSWORD.finditer(text)]})
+    named = sorted({*named, *[m.span("value") for finder in (_PASSWORD, _PEM) for m in finder.finditer(text)]})
     out = []
     for a, b in named:
         if a < b and (not out or a >= out[-1][1]):
@@ -165,7 +176,7 @@ def found_in(text: str) -> list[tuple[int, int]]:
         while at < len(taken) and taken[at][1] <= a:
             at += 1
         clear = at == len(taken) or taken[at][0] >= b
-        if clear and b - a >= SHORTEST and any(c.isdigit() for c in text[a:b]):
+        if clear and b - a >= SHORTEST and (any(c.isdigit() for c in text[a:b]) or _turns(text[a:b]) >= TURNS):
             out.append((a, b))
     return sorted(out)
 

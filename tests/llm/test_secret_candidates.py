@@ -24,6 +24,16 @@ def judged(text):
     ("see /the/house/12/water/tree.html", [("/the/house/12/water/tree.html", 0)]),
     ("sha256:0123456789abcdef0123 end", [("0123456789abcdef0123", 0)]),
     ("no secret here", []), ("", []),
+    ('token := "abc def" end', [("abc def", 1)]),
+    ('password = "correct horse battery" end', [("correct horse battery", 1)]),
+    ('secret = "naïve-pässword1"', [("naïve-pässword1", 1)]),
+    ("secret=pässwört end", [("pässwört", 1)]),
+    ('private key = """abc""" end', [("abc", 1)]),
+    ("the key: 'take it home' end", [("take it home", None)]),
+    ("password = 'it\\'s' end", [("it\\'s", 1)]),
+    ("see ghp_aBcDeFgHiJkLmNoPqRsTuVwXyZ now", [("ghp_aBcDeFgHiJkLmNoPqRsTuVwXyZ", None)]),
+    ("see internationalisation now", []),
+    ("-----BEGIN RSA PRIVATE KEY-----\nMIIEow\nabcd+/=\n-----END RSA PRIVATE KEY-----", [("MIIEow\nabcd+/=", 1)]),
 ])
 def test_candidates_and_labels(text, expected):
     assert judged(text) == expected
