@@ -9,6 +9,9 @@ hardly any learned text of like length falls below is rejected.
 
 Null texts and texts without a letter get ``und`` and score 0, as does everything if no label can be learned from.
 Null labels are not learned from. Rows are predicted one by one; equal or null keys do no harm.
+
+Long texts are counted in pieces of ``_PIECE`` bytes. Where centroids are equally near, the first language in order wins. Other columns are
+ignored, whatever their names; :func:`recognised` returns them as they are.
 """
 
 from collections.abc import Iterator

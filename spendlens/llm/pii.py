@@ -8,6 +8,9 @@ stands for. What is then found in the rewritten text is mapped back, and added i
 and overlaps no plain span.
 
 Null texts are empty. Rows are treated one by one; equal or null keys do no harm.
+
+A text is worked on as one value, however long. Equal rows are searched each. Other columns are ignored, whatever their names; :func:`mask`
+returns them as they are.
 """
 
 import re

@@ -11,6 +11,8 @@ tasks, so a larger benchmark means more passes over the stored index, not larger
 
 Null texts have no words. Items without words, or without an id, match nothing; repeated items count once.
 Document rows are treated one by one, so equal or null keys do no harm.
+
+A long text is laid out ``_WORDS`` words at a time while it is matched. Columns beside key and text are ignored, whatever their names.
 """
 
 from collections.abc import Iterator

@@ -14,6 +14,8 @@ lean on the naming words alone. Findings without such a context are judged by th
 
 Null texts are empty. Rows are scanned one by one, so keys may be null or repeat. If labels of both classes are
 not to be had, every finding gets the share of true ones.
+
+A text is scanned as one value, however long. Columns beside key and text are ignored, whatever their names.
 """
 
 import math

@@ -17,6 +17,8 @@ A bucket of more than ``LARGE`` runs left for the second step is dealt out by st
 
 "Earlier" is by doc_id (null last), then start. Rows equal in doc_id and text are one document and get one result;
 different texts of one doc_id are put in the order of a hash. Null texts are empty. Identifiers are 64-bit hashes.
+
+Long texts are worked on in pieces that overlap by LENGTH - 1 bytes. Columns beside key and text are ignored, whatever their names.
 """
 
 from collections.abc import Iterator

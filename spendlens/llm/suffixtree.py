@@ -20,6 +20,9 @@ have the same probability after a context.
 
 Null texts are empty: they hold the end mark alone. Rows are scored one by one, so keys may be null or repeat. Without
 training texts every symbol has probability 1.
+
+A text longer than a block is a block of its own, held by one task. Equal rows are scored each. Columns beside key, text and those that
+``learned`` names are ignored, whatever their names.
 """
 
 import struct

@@ -9,6 +9,8 @@ is below the k-th best score found so far drop out; exact products are computed
 Queries and candidates meet in a grid of blocks, and each cell gives at most k rows per query. Vectors that are null
 or hold null or non-finite components take no part, nor do rows without an id. Only vectors of one length are
 compared. Equal rows count once; a query is never its own result, nor is another row of its id.
+
+Columns beside the id and the vector are ignored, whatever their names. An empty table gives no rows.
 """
 
 from collections.abc import Callable

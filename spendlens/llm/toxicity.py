@@ -13,6 +13,8 @@ mapped to the share of toxic examples seen at that vote when every example is sc
 Null texts are empty; a text without terms of the vocabulary gets the share of toxic ones among such examples. Rows are
 scored one by one, so keys may be null or repeat. A key with several labels is toxic if one says so. Without labels of
 both classes every score is the share of toxic labels, or 0.
+
+A text is worked on as one value, however long. Equal rows are scored each. Columns beside key, text and label are ignored, whatever their names.
 """
 
 import re

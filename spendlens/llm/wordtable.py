@@ -11,6 +11,8 @@ A pack holds the words that one block sends to one owner, so there are never mor
 of blocks; owners grow in number with the input, which bounds what one of them gets. A lost executor's blocks are made anew: the documents should be a stored table,
 which every attempt reads in the same order. Null texts are empty and
 have no ids. Rows are treated one by one, so keys may be null or repeat.
+
+A text is one value in a task, however long. Columns beside key and text are ignored, whatever their names.
 """
 
 import hashlib
