@@ -21,6 +21,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_exact_top_k": topk.SQL,
+    "op10_suffix_dedup": suffixes.SQL,
     "op11_conversation_trie": tries.SQL,
     "op12_cover_dedup": covers.SQL,
     "op13_source_divergence": divergence.SQL,

@@ -11,7 +11,7 @@ meet in pairs.
 Null texts are empty; texts without words have fingerprint zero and link like any other. Null keys take part
 but never name a component, unless it has no other key. Repeated rows stay.
 
-A text is one value in a task, however long; its shingles are counted while they are read. Columns beside key and text are ignored, whatever their names.
+A text is one value in a task, however long, with its words and the hashes of its shingles. Columns beside key and text are ignored, whatever their names.
 """
 
 from collections.abc import Iterator

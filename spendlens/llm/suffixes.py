@@ -320,3 +320,28 @@ def op10(spark, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("key").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+    SELECT r, doc_id, start, md5(substr(h, 2 * start + 1, 200)) AS k
+    FROM (SELECT r, doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS start FROM docs WHERE length(h) >= 200)
+), later AS (
+    SELECT r, start FROM (SELECT r, start, row_number() OVER (PARTITION BY k ORDER BY doc_id, start) AS n FROM windows) WHERE n > 1
+), runs AS (
+    SELECT r, min(start) AS a, max(start) + 100 AS b
+    FROM (SELECT r, start, sum(fresh) OVER (PARTITION BY r ORDER BY start) AS run
+          FROM (SELECT r, start, CASE WHEN start - lag(start) OVER (PARTITION BY r ORDER BY start) <= 100 THEN 0 ELSE 1 END AS fresh FROM later))
+    GROUP BY r, run
+), pieces AS (
+    SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs
+), kept AS (
+    SELECT r, count(*) AS n, sum(b - a) AS gone, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+    FROM pieces JOIN docs USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(CASE WHEN n IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""

@@ -1,7 +1,9 @@
 import hashlib
+import os
 import random
 import re
 
+import duckdb
 import pytest
 from spendlens.llm import positional
 
@@ -91,3 +93,43 @@ def test_words_that_polynomial_hashes_confuse(spark):
     items = spark.createDataFrame([("i", other)], "item_id string, text string")
     found = {r["key"]: len(r["matches"]) for r in positional.contamination(docs, items).collect()}
     assert found == {1: 0, 2: 1}
+
+
+# the columns of the contract; proximity matches have no SQL
+SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark WHERE item_id IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item_id, least(len(words), 10) AS size, array_to_string(words[start:start + 9], ' ') AS k
+    FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS start FROM items WHERE len(words) > 0)
+), places AS (
+    SELECT r, size, start, array_to_string(words[start:start + size - 1], ' ') AS k
+    FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS start
+          FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)
+), hits AS (
+    SELECT r, item_id, size, start FROM places JOIN windows USING (size, k)
+), covered AS (
+    SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(start, start + size)) AS place FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(*) AS n, string_agg(item_id, ',' ORDER BY encode(item_id)) AS ids FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(f.n, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(f.ids, '')) AS items_sha256, c.n IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered c USING (r) LEFT JOIN found f USING (r)
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not present")
+def test_whole_query_matches_sql(spark):
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.01/{name}.parquet'")
+    found = con.execute(SQL)
+    columns = [c[0] for c in found.description]
+    assert sorted(map(tuple, positional.op8(spark, "/root/testdata/sf0.01").select(columns).collect())) == sorted(found.fetchall())
