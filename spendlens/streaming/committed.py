@@ -130,47 +130,55 @@ def start_router(events: DataFrame, path: str, checkpoint: str, topic: str) -> S
 
 
 KEEP_MS = 7 * 24 * 3600 * 1000
-_STATE = "first bigint, copies array<bigint>"
+BUCKETS = 1 << 15
+_STATE = "ids array<string>, firsts array<bigint>, copies array<array<bigint>>, seen array<bigint>"
 
 
-def earliest_copies(events: DataFrame, keep_ms: int = KEEP_MS) -> DataFrame:
+def earliest_copies(events: DataFrame, keep_ms: int = KEEP_MS, buckets: int = BUCKETS) -> DataFrame:
     """Events that may be the first of their id: new ids, and copies dated no later than any seen before.
 
-    One small state per id holds the earliest time sent and which rows were sent with it; it is given up ``keep_ms`` after the id was last
-    seen. A copy that comes even later passes again, and is settled against the table when that is read (:func:`corrected`), so none is lost.
+    For each id its state holds the earliest time sent and which rows were sent with it; it is given up ``keep_ms`` after the id was last
+    seen. Ids share a state by a hash, as one call for every id costs far more than its rows; ``buckets`` is to be chosen for
+    the number of ids that come within ``keep_ms``. A copy that comes even later passes again, and is settled against the table when that is read (:func:`corrected`), so none is lost.
     """
     rows = batch.with_ids(events)
     kept = rows.withColumns({
         "_time": F.coalesce(F.unix_micros("timestamp"), F.lit(-(1 << 62))),
         "_row": F.xxhash64(*[F.to_json(F.array_sort(F.map_entries(c.name))) if isinstance(c.dataType, T.MapType) else F.col(c.name)
                              for c in rows.schema.fields]),
+        "_bucket": F.pmod(F.xxhash64("event_id"), F.lit(buckets)),
         "payload": F.to_json("payload"),
     })
-    columns = [c for c in kept.columns if c not in ("_time", "_row")]
+    columns = [c for c in kept.columns if c not in ("_time", "_row", "_bucket")]
     schema = T.StructType([kept.schema[c] for c in columns])
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        known = {i: (first, copies, seen) for i, first, copies, seen in zip(*state.get)} if state.exists else {}
+        if not state.hasTimedOut:
+            now = state.getCurrentProcessingTimeMs()
+            for frame in frames:
+                chosen = []
+                for place, (i, time, row) in enumerate(zip(frame["event_id"].tolist(), frame["_time"].tolist(), frame["_row"].tolist())):
+                    first, copies, _ = known.get(i, (None, [], now))
+                    if first is None or time < first:
+                        first, copies = time, []
+                    if time == first and row not in copies:
+                        copies = [*copies, row]
+                        chosen.append(place)
+                    known[i] = first, copies, now
+                if chosen:
+                    yield frame.iloc[chosen][columns]
+        over = state.getCurrentWatermarkMs() - keep_ms
+        left = [(i, *entry) for i, entry in known.items() if entry[2] > over]
+        if not left:
             state.remove()
             return
-        first, copies = state.get if state.exists else (None, [])
-        copies = list(copies)
-        for frame in frames:
-            chosen = []
-            for i, (time, row) in enumerate(zip(frame["_time"], frame["_row"])):
-                if first is None or time < first:
-                    first, copies = int(time), []
-                if time == first and row not in copies:
-                    copies.append(int(row))
-                    chosen.append(i)
-            if chosen:
-                yield frame.iloc[chosen][columns]
-        state.update((first, copies))
-        state.setTimeoutTimestamp(state.getCurrentProcessingTimeMs() + keep_ms)
+        state.update(tuple(list(column) for column in zip(*left)))
+        state.setTimeoutTimestamp(min(entry[3] for entry in left) + keep_ms)
 
     # the watermark is that of arrival: it ends states, and no row is ever late for it
     arrived = kept.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", "0 seconds")
-    sent = arrived.groupBy("event_id").applyInPandasWithState(run, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    sent = arrived.groupBy("_bucket").applyInPandasWithState(run, schema, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return sent.withColumn("payload", F.from_json("payload", "map<string,string>"))
 
 

@@ -70,3 +70,23 @@ def test_deltas_equal_a_rebuild(spark, tmp_path, people):
         assert rows(store.dimension()) == rebuilt and {tuple(r[:3]): r.employee_key for r in store.keys().collect()} == after
     store.apply(history.limit(0), people.limit(0))
     assert rows(store.dimension()) == rebuilt
+
+
+def test_ids_share_a_state(spark, tmp_path):
+    """Many ids to a state: as many calls as states, not as ids, and the same rows; states are given up id by id."""
+    rows = spark.range(600).select(
+        (F.col("id") % 200).cast("string").alias("event_id"), F.lit("login").alias("event_type"), F.lit(None).cast("string").alias("project_id"),
+        F.lit("u").alias("user_id"), F.timestamp_seconds(1_700_000_000 + F.col("id") * 37 % 100).alias("timestamp"),
+        F.create_map(F.lit("severity"), F.col("id").cast("string")).alias("payload"))
+    expected = sorted((r.event_id, r.payload["severity"]) for r in events.validate_events(rows).collect())
+    for part in range(3):
+        rows.where(F.floor(F.col("payload")["severity"].cast("int") / 200) == part).coalesce(1).write.mode("append").option(
+            "timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(f"{tmp_path}/in")
+    stream = readers.stream_jsonl(spark, f"{tmp_path}/in", schemas.EVENTS, max_files_per_trigger=1)
+    for name, keep in (("kept", committed.KEEP_MS), ("given_up", 0)):
+        sent = committed.earliest_copies(stream, keep, buckets=3)
+        tables = committed.CommittedTables(spark, f"{tmp_path}/{name}/out")
+        sent.writeStream.foreachBatch(lambda frame, n: tables.commit(n, {"events": frame}) and None).option(
+            "checkpointLocation", f"{tmp_path}/{name}/c").trigger(availableNow=True).start().awaitTermination()
+        found = committed.corrected(spark, f"{tmp_path}/{name}/out").collect()
+        assert sorted((r.event_id, r.payload["severity"]) for r in found) == expected
