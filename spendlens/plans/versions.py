@@ -91,15 +91,16 @@ class VersionStore:
             *[F.col("who")[name].alias(name) for name in _IDENTITY],
             F.when(F.col("present"), F.coalesce(F.date_add("latest", 1), "starts")).otherwise(F.col("starts")).alias("valid_from"))
         rows = ordering.ordered(whole, "employee_id", "valid_from", "present", "salary", "source_key")
-        closed = ordering.following(rows, ["employee_id"], "valid_from", "next_from")
         fresh = F.when(F.col("named") & F.col("employee_key").isNull(), 1).otherwise(0).cast("bigint")
-        keyed = _numbered(closed, fresh, "fresh").withColumns({
+        # rows dealt by range for the numbers stay where they are for the neighbours within an employee
+        closed = ordering.following(_numbered(rows, fresh, "fresh"), ["employee_id"], "valid_from", "next_from")
+        keyed = closed.withColumns({
             "employee_key": F.coalesce("employee_key", F.when(F.col("named"), F.col("fresh") + last_key)),
             "valid_to": F.coalesce("next_from", F.lit(temporal.END_OF_TIME).cast("date")),
             "is_current": F.col("next_from").isNull(),
         })
-        result = materialize(keyed.select(*_STORED.names), "versions")
-        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
+        # the sorted rows are stored, so the folders that are overwritten are not read any more
+        keyed.select(*_STORED.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
 
     def dimension(self, domain: str = DEFAULT_DOMAIN) -> DataFrame:
         """The dimension under its contract."""
