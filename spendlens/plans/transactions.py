@@ -14,11 +14,6 @@ def enrich_transactions(transactions: DataFrame, projects: DataFrame, employees:
     typed = transactions.withColumns({
         "amount": exprs.zero_if_null(exprs.as_double(transactions, "amount")),
         "approved_by": exprs.blank_to_null(F.col("approved_by"), trim=False),
-        "transaction_date": exprs.iso_date(day),
-        "transaction_year_month": exprs.year_month(day),
-    }).withColumns({
-        "amount_aed": F.col("amount"),
-        "is_approved": F.col("approved_by").isNotNull(),
     })
     with_project = lookups.left_lookup(
         typed, projects, "project_id", "project_id",
@@ -28,6 +23,14 @@ def enrich_transactions(transactions: DataFrame, projects: DataFrame, employees:
         with_project, employees, "approved_by", "employee_id",
         {"full_name": "approver_full_name"},
     )
-    return with_approver.withColumn(
-        "approver_full_name", F.coalesce("approver_full_name", F.lit(UNASSIGNED))
+    # what follows from other columns is added after the joins, which need not move it
+    return with_approver.withColumns({
+        "transaction_date": exprs.iso_date(day),
+        "transaction_year_month": exprs.year_month(day),
+        "amount_aed": F.col("amount"),
+        "is_approved": F.col("approved_by").isNotNull(),
+        "approver_full_name": F.coalesce("approver_full_name", F.lit(UNASSIGNED)),
+    }).select(
+        *transactions.columns, "transaction_year_month", "amount_aed", "is_approved",
+        "project_name", "department", "approver_full_name",
     )
