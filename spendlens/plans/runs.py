@@ -75,10 +75,10 @@ def run_etl(
     """Read the raw files, stop at a violated gate, write and verify the three clean sets, report."""
     # the text inputs are parsed once; gate, counts and cleaning read the columnar copy
     raw = {
-        "projects": session.materialize(readers.read_projects(spark, projects_path), "raw-projects"),
-        "employees": session.materialize(readers.read_employees(spark, employees_path), "raw-employees"),
+        "projects": session.materialize(readers.read_projects(spark, projects_path), "raw-projects", "zstd"),
+        "employees": session.materialize(readers.read_employees(spark, employees_path), "raw-employees", "zstd"),
         "transactions": session.materialize(
-            readers.read_transactions(spark, transactions_path, one_object_per_line), "raw-transactions"
+            readers.read_transactions(spark, transactions_path, one_object_per_line), "raw-transactions", "zstd"
         ),
     }
     quality.assert_gate(raw["projects"], raw["employees"], raw["transactions"])
@@ -95,7 +95,7 @@ def run_etl(
     for name, df in clean.items():
         counted, rows = _counted(df)
         path = f"{out_dir}/{name}_clean"
-        writers.write_csv(counted, path)
+        writers.write_csv(counted, path, packed=True)
         writers.verify_output(spark, path, "csv")
         metrics += [
             (name, "extract", "rows", raw_rows[name]),
