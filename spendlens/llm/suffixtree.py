@@ -119,6 +119,14 @@ def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places[new], inverse
 
 
+def _ordered(keys: np.ndarray) -> np.ndarray:
+    """The places of the keys in order of key, equal ones in order of place."""
+    n = max(1, len(keys))
+    if int(keys.max(initial=0)) >= (1 << 62) // n:
+        return np.argsort(keys, kind="stable")
+    return np.sort(keys * n + np.arange(len(keys))) % n
+
+
 class Block:
     """Symbols of a block's texts, and what earlier rounds have answered about them."""
 
@@ -157,28 +165,33 @@ class Block:
         return out
 
     def pairs(self) -> tuple[np.ndarray, ...]:
-        """The different (context, symbol) pairs asked about, by owner, context and symbol, and each place's pair."""
+        """The different (context, symbol) pairs asked about, by owner, context and symbol: the places asked about, the pair of
+        each, and per pair its owner and first place."""
         at = np.flatnonzero(self.open)
         first, inverse = _unique(self.place[at] * (len(self.names) + 1) + self.asked[at])
-        n = np.bincount(inverse, weights=self.learned[at], minlength=len(first))
         where = at[first]
-        context, code, seen, p, place = self.context[where], self.asked[where], self.seen[where], self.p[where], self.place[where]
-        symbol = self.hashes[code]
-        frequent = seen > self.frequent
-        part = mix(symbol) % (1 + seen * PARTS // self.frequent).astype(np.uint64)
-        owner = _owner(np.where(frequent, mix(context ^ mix(part)), context), self.owners).astype(np.int64)
-        # pairs come by context; the few different contexts are ranked by their hashes, then all pairs by owner and rank
-        heads, sizes = _groups(place)
+        # pairs come by context, all of one context to one owner unless it is frequent
+        heads, sizes = _groups(self.place[where])
+        context, seen = self.context[where[heads]], self.seen[where[heads]]
+        owner = np.repeat(_owner(context, self.owners).astype(np.int64), sizes)
+        parted = np.flatnonzero(np.repeat(seen > self.frequent, sizes))
+        if len(parted):
+            own = where[parted]
+            part = mix(self.hashes[self.asked[own]]) % (1 + self.seen[own] * PARTS // self.frequent).astype(np.uint64)
+            owner[parted] = _owner(mix(self.context[own] ^ mix(part)), self.owners)
+        # the few different contexts are ranked by their hashes, then all pairs by owner, rank and place in one number
         rank = np.empty(len(heads), np.int64)
-        rank[np.argsort(context[heads])] = np.arange(len(heads))
-        order, _ = _unique((owner * max(1, len(heads)) + np.repeat(rank, sizes)) * max(1, len(first)) + np.arange(len(first)))
+        rank[np.argsort(context)] = np.arange(len(heads))
+        order = _ordered(owner * max(1, len(heads)) + np.repeat(rank, sizes))
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
-        return at, back[inverse], owner[order], context[order], self.ids[code][order], n[order], seen[order], p[order]
+        return at, back[inverse], owner[order], where[order]
 
     def request(self) -> Iterator[tuple[int, bytes]]:
-        _, _, owner, context, symbol, n, seen, p = self.pairs()
-        bits = np.minimum(np.round(-np.log2(p) * _STEPS), 65535)
+        at, pair, owner, where = self.pairs()
+        n = np.bincount(pair, weights=self.learned[at], minlength=len(where))
+        context, symbol, seen = self.context[where], self.ids[self.asked[where]], self.seen[where]
+        bits = np.minimum(np.round(-np.log2(self.p[where]) * _STEPS), 65535)
         for to, own in _dealt(owner):
             first, sizes = _groups(context[own])
             frequent = seen[own][first] > self.frequent
@@ -186,7 +199,7 @@ class Block:
 
     def deepen(self, answers: list[bytes], once: float, verdicts: tuple[np.ndarray, ...]) -> None:
         """Take in the answers to the last request; the next one is about contexts that are one symbol longer."""
-        at, pair, _, context, _, _, sightings, _ = self.pairs()
+        at, pair, _, where = self.pairs()
         kind, many, types, n = [], [], [], []
         for answer in answers:
             sizes, k, m, t, count = load(answer)
@@ -196,8 +209,9 @@ class Block:
         kind, many, types, n = (np.concatenate(none + x).astype(float) for x in (kind, many, types, n))
         parted = kind == _FREQUENT  # an owner has a part of these
         known, kept, followers = verdicts
-        place = np.searchsorted(known, context[parted])
-        kind[parted], many[parted], types[parted] = kept[place], sightings[parted], followers[place]
+        own = where[parted]
+        place = np.searchsorted(known, self.context[own])
+        kind[parted], many[parted], types[parted] = kept[place], self.seen[own], followers[place]
         kind, many, types, n = (x[pair] for x in (kind, many, types, n))
         k = np.where(kind == _ONCE, once, types)
         held = kind > _UNTESTED
@@ -282,13 +296,24 @@ def _verdicts(parts: DataFrame) -> tuple[np.ndarray, ...]:
     return context[order], np.where(gain > LEAST, _KEPT, _UNTESTED), types
 
 
+def _by_context(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """An order by context and symbol."""
+    # contexts come in runs, so few have to be compared to rank them
+    heads, sizes = _groups(context)
+    known, rank = np.unique(context[heads], return_inverse=True)
+    bits = int(symbol.max(initial=0)).bit_length()
+    if len(known).bit_length() + bits > 63:
+        return np.lexsort((symbol, context))
+    return np.argsort(np.repeat(rank, sizes) << bits | symbol.astype(np.int64))
+
+
 def _answer(requests: pa.Table) -> pa.Table:
     """Counts of all pairs and contexts of this owner, with the verdict on each context."""
     asked = [load(x) for x in requests["payload"].to_pylist()]
     context = np.concatenate([np.repeat(np.cumsum(a[0], dtype=np.uint64), a[1].astype(np.int64)) for a in asked])
     frequent = np.concatenate([np.repeat(a[2], a[1].astype(np.int64)) for a in asked]).astype(bool)
     symbol, n, bits = (np.concatenate([a[i] for a in asked]) for i in (3, 4, 5))
-    order = np.lexsort((symbol, context))
+    order = _by_context(context, symbol)
     c, s = context[order], symbol[order]
     new = np.ones(len(order), bool)
     new[1:] = (c[1:] != c[:-1]) | (s[1:] != s[:-1])
