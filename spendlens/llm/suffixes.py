@@ -11,8 +11,9 @@ such a run is refined as a whole:
 2. Buckets that refinement has split are refined further, by the identifiers at each single offset, from the bytes
    of the runs that are left. The first of each refined bucket stays.
 
-Copies inside a batch of documents are settled before anything is shuffled, and a bucket with many different runs
-in one batch sends two of them, which show that it must be refined further; the rest skip that exchange.
+Copies inside a portion of a batch of documents are settled before anything is shuffled, and a bucket with many different
+runs in one portion sends two of them, which show that it must be refined further; the rest skip that exchange.
+Portions are bounded in bytes, so a task's memory does not grow with the length of the texts.
 A bucket of more than ``LARGE`` runs left for the second step is dealt out by string instead.
 
 "Earlier" is by doc_id (null last), then start. Rows equal in doc_id and text are one document and get one result;
@@ -34,8 +35,10 @@ from spendlens.llm.kernels import CHUNK, mix, prefix_sums, ranges, span_hashes,
 
 LENGTH = 100
 Q = 32
-MANY = 64  # different runs of a bucket in one batch from which it skips the first exchange
+MANY = 64  # different runs of a bucket in one portion from which it skips the first exchange
 LARGE = 20_000
+PORTION = 1 << 23  # bytes of text from which a part of a batch is worked on by itself
+_RUNS = 20_000  # runs whose bytes are taken at once
 
 SENT, SHOWN, LEFT, GONE = range(4)  # what becomes of a run: exchanged; exchanged and left; left; removed
 
@@ -76,45 +79,70 @@ def _pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
             yield first, at, part, np.array([0, len(part)])
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The batches cut between rows where a column of texts passes ``PORTION`` bytes."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(), dtype=np.int64)
+        first = 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + PORTION, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def _batch_runs(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
-    """Runs of a batch (doc, mark, text), with what becomes of each; see the module's text."""
+    """Runs of portions of a batch (doc, mark, text), with what becomes of each; see the module's text."""
     for batch in batches:
-        found = [[] for _ in range(6)]
+        rank = _ranks(batch)
+        found, held = [], 0
         for first, at, data, offsets in _pieces(batch.column(2)):
             own = runs(data, offsets)
             base = offsets[:-1][own[2]] - at
-            for out, x in zip(found, (own[0], own[1], own[2] + first, own[3] - base, own[4] - base, own[5] - own[3])):
-                out.append(x)
-        bucket, whole, row, low, high, left = (np.concatenate(x) for x in found) if found[0] else [np.zeros(0, np.int64)] * 6
-        if not len(bucket):
-            continue
-        keys = pa.table([batch.column(0), batch.column(1)], names=["doc", "mark"])
-        rank = np.empty(len(keys), np.int64)
-        rank[pc.sort_indices(keys, [("doc", "ascending"), ("mark", "ascending")], null_placement="at_end").to_numpy()] = np.arange(len(keys))
-        order = np.lexsort((low, rank[row], whole, bucket))
-        b, w = bucket[order], whole[order]
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (b[1:] != b[:-1]) | (w[1:] != w[:-1])
-        fate = np.full(len(order), GONE, np.int8)
-        alone, edges, sizes = order[fresh], *np.unique(b[fresh], return_index=True, return_counts=True)[1:]
-        kept = np.full(len(alone), SENT, np.int8)
-        for i in np.flatnonzero(sizes > many):
-            kept[edges[i]:edges[i] + sizes[i]] = LEFT
-            kept[edges[i]:edges[i] + 2] = SHOWN
-        fate[alone] = kept
-        # of what goes, neighbouring runs travel as one
-        gone = np.flatnonzero(fate == GONE)
-        gone = gone[np.lexsort((low[gone], row[gone]))]
-        heads = np.ones(len(gone), bool)
-        heads[1:] = (row[gone[1:]] != row[gone[:-1]]) | (low[gone[1:]] != high[gone[:-1]] + 1)
-        first = np.flatnonzero(heads)
-        high[gone[first]] = high[gone[np.append(first[1:], len(gone)) - 1]] if len(gone) else high[:0]
-        own = np.concatenate([np.flatnonzero(fate != GONE), gone[first]])
-        rows = pa.array(row[own])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(bucket[own].view(np.int64)),
-             pa.array(whole[own].view(np.int64)), pa.array(low[own]), pa.array(high[own]), pa.array(fate[own].astype(np.int32))],
-            names=_RUN)
+            found.append((own[0], own[1], own[2] + first, own[3] - base, own[4] - base, own[5] - own[3]))
+            held += len(data)
+            if held >= PORTION:
+                yield from _settled(batch, rank, found, many)
+                found, held = [], 0
+        if found:
+            yield from _settled(batch, rank, found, many)
+
+
+def _ranks(batch: pa.RecordBatch) -> np.ndarray:
+    """The place of every row of (doc, mark, ...) in the order of documents."""
+    keys = pa.table([batch.column(0), batch.column(1)], names=["doc", "mark"])
+    rank = np.empty(len(keys), np.int64)
+    rank[pc.sort_indices(keys, [("doc", "ascending"), ("mark", "ascending")], null_placement="at_end").to_numpy()] = np.arange(len(keys))
+    return rank
+
+
+def _settled(batch: pa.RecordBatch, rank: np.ndarray, found: list, many: int) -> Iterator[pa.RecordBatch]:
+    bucket, whole, row, low, high, left = (np.concatenate(x) for x in zip(*found))
+    if not len(bucket):
+        return
+    order = np.lexsort((low, rank[row], whole, bucket))
+    b, w = bucket[order], whole[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (b[1:] != b[:-1]) | (w[1:] != w[:-1])
+    fate = np.full(len(order), GONE, np.int8)
+    alone, edges, sizes = order[fresh], *np.unique(b[fresh], return_index=True, return_counts=True)[1:]
+    kept = np.full(len(alone), SENT, np.int8)
+    for i in np.flatnonzero(sizes > many):
+        kept[edges[i]:edges[i] + sizes[i]] = LEFT
+        kept[edges[i]:edges[i] + 2] = SHOWN
+    fate[alone] = kept
+    # of what goes, neighbouring runs travel as one
+    gone = np.flatnonzero(fate == GONE)
+    gone = gone[np.lexsort((low[gone], row[gone]))]
+    heads = np.ones(len(gone), bool)
+    heads[1:] = (row[gone[1:]] != row[gone[:-1]]) | (low[gone[1:]] != high[gone[:-1]] + 1)
+    first = np.flatnonzero(heads)
+    high[gone[first]] = high[gone[np.append(first[1:], len(gone)) - 1]] if len(gone) else high[:0]
+    own = np.concatenate([np.flatnonzero(fate != GONE), gone[first]])
+    rows = pa.array(row[own])
+    yield pa.RecordBatch.from_arrays(
+        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(bucket[own].view(np.int64)),
+         pa.array(whole[own].view(np.int64)), pa.array(low[own]), pa.array(high[own]), pa.array(fate[own].astype(np.int32))],
+        names=_RUN)
 
 
 _RUN = ["doc", "mark", "bucket", "whole", "low", "high", "fate"]
@@ -173,38 +201,41 @@ def _first_refinement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of all runs left in (doc, mark, text, runs); those of large buckets string by string."""
     for batch in batches:
-        rows, buckets, lows, highs, parts = [], [], [], [], []
-        alone = {}
-        data = batch.column(2).cast(pa.large_binary()).to_pylist()
-        lists = batch.column(3).to_pylist()
-        for row, (text, own) in enumerate(zip(data, lists)):
-            for run in own:
-                part = text[run["low"]:run["high"] + LENGTH]
-                if not run["large"]:
-                    rows.append(row), buckets.append(run["bucket"]), lows.append(run["low"]), highs.append(run["high"]), parts.append(part)
-                    continue
-                view = np.frombuffer(part, np.uint8)
-                places = np.arange(len(view) - LENGTH + 1)
-                hashes = mix(span_hashes(prefix_sums(view), places, places + LENGTH) ^ np.uint64(run["bucket"] & 0xFFFFFFFFFFFFFFFF))
-                for place, key in zip(places.tolist(), hashes.view(np.int64).tolist()):
-                    alone.setdefault(key, []).append((row, run["low"] + place))
-        gone = pa.array([False] * len(rows))
-        if alone:
-            keys = pa.table([batch.column(0), batch.column(1)], names=["doc", "mark"])
-            rank = np.empty(len(keys), np.int64)
-            rank[pc.sort_indices(keys, [("doc", "ascending"), ("mark", "ascending")], null_placement="at_end").to_numpy()] = np.arange(len(keys))
-            marks = [False] * len(rows)
-            for key, found in alone.items():
-                first = min(found, key=lambda x: (rank[x[0]], x[1]))
-                for row, low in found:
-                    rows.append(row), buckets.append(key), lows.append(low), highs.append(low), parts.append(b"")
-                    marks.append((row, low) != first)
-            gone = pa.array(marks)
-        at = pa.array(rows, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(buckets, pa.int64()), pa.array(lows, pa.int64()),
-             pa.array(highs, pa.int64()), pa.array(parts, pa.binary()), gone],
-            names=["doc", "mark", "bucket", "low", "high", "bytes", "gone"])
+        if not len(batch):
+            continue
+        text = batch.column(2).cast(pa.large_binary())
+        base = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text)]
+        data = np.frombuffer(text.buffers()[2], np.uint8)
+        own = batch.column(3).flatten()
+        bucket, low, high, large = (pc.struct_field(own, name).to_numpy(zero_copy_only=False) for name in ("bucket", "low", "high", "large"))
+        row = np.repeat(np.arange(len(batch)), np.diff(batch.column(3).offsets.to_numpy()))
+        plain, rank = np.flatnonzero(~large), _ranks(batch) if large.any() else None
+        for at in range(0, len(plain), _RUNS):
+            i = plain[at:at + _RUNS]
+            sizes = high[i] + LENGTH - low[i]
+            yield _asked(batch, row[i], bucket[i], low[i], high[i], data[ranges(base[row[i]] + low[i], sizes)], sizes, np.zeros(len(i), bool))
+        # in order of buckets, so that copies mostly meet in one portion
+        dealt = np.flatnonzero(large)
+        dealt = dealt[np.argsort(bucket[dealt], kind="stable")]
+        for at in range(0, len(dealt), _RUNS):
+            i = dealt[at:at + _RUNS]
+            sizes, counts = high[i] + LENGTH - low[i], high[i] - low[i] + 1
+            sums = prefix_sums(data[ranges(base[row[i]] + low[i], sizes)])
+            starts = ranges(np.cumsum(sizes) - sizes, counts)
+            keys = mix(span_hashes(sums, starts, starts + LENGTH) ^ np.repeat(bucket[i].view(np.uint64), counts)).view(np.int64)
+            place, owner = ranges(low[i], counts), np.repeat(row[i], counts)
+            order = np.lexsort((place, rank[owner], keys))
+            gone = np.zeros(len(keys), bool)
+            gone[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+            yield _asked(batch, owner, keys, place, place, np.zeros(0, np.uint8), np.zeros(len(keys), np.int64), gone)
+
+
+def _asked(batch: pa.RecordBatch, row, bucket, low, high, data: np.ndarray, sizes: np.ndarray, gone: np.ndarray) -> pa.RecordBatch:
+    at, edges = pa.array(row), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    parts = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(at), batch.column(1).take(at), pa.array(bucket), pa.array(low), pa.array(high), parts, pa.array(gone)],
+        names=["doc", "mark", "bucket", "low", "high", "bytes", "gone"])
 
 
 def _repeats(batch: pa.Table) -> pa.RecordBatch:
@@ -293,7 +324,7 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", many:
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sizes, found, kept = [], [], []
             for text, own in zip(batch.column(1).cast(pa.large_binary()).to_pylist(), batch.column(2).to_pylist()):
                 sizes.append(len(text))

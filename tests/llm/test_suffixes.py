@@ -1,6 +1,8 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from spendlens.llm import suffixes
@@ -95,3 +97,49 @@ def test_texts_of_one_key(spark):
     text = "".join(random.Random(3).choices("abcdef", k=150))
     found = spark_rows(spark, [(1, text + "x"), (1, text + "y")])
     assert sorted(r[1][1] for r in found) == [0, 150]
+
+
+def test_long_batches_are_settled_in_portions():
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choices("abcdefgh", k=20_000)) for _ in range(8)]
+    batch = pa.record_batch([pa.array(range(2000)), pa.array([0] * 2000), pa.array([texts[i % 8] for i in range(2000)])], names=["doc", "mark", "text"])
+    tracemalloc.start()
+    found = gone = 0
+    for part in suffixes._batch_runs([batch], 64):
+        found, gone = found + 1, gone + part["fate"].to_pylist().count(suffixes.GONE)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 1 and gone and most < 5 * batch.nbytes
+
+
+def test_runs_of_large_buckets_without_objects_per_string():
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choices("abcdefgh", k=168)) for _ in range(3000)]
+    own = [[{"bucket": -5, "low": 0, "high": 68, "large": True}] for _ in texts]
+    kind = pa.list_(pa.struct([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("large", pa.bool_())]))
+    batch = pa.record_batch(
+        [pa.array(range(6000)), pa.array([0] * 6000), pa.array(texts + texts), pa.array(own + own, kind)], names=["doc", "mark", "text", "runs"])
+    tracemalloc.start()
+    parts = list(suffixes._with_bytes([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = pa.Table.from_batches(parts)
+    gone = found["gone"].to_numpy()
+    assert len(found) == 6000 * 69 and gone.sum() == 3000 * 69 and found["doc"].to_numpy()[gone].min() == 3000
+    assert most < 150 * len(found)
+
+
+@pytest.mark.parametrize("size", [1, 7, 20_000])
+def test_bytes_of_runs_in_portions(monkeypatch, size):
+    monkeypatch.setattr(suffixes, "_RUNS", size)
+    texts = ["é" + "".join(random.Random(i % 5).choices("abcdef", k=180)) for i in range(12)]
+    own = [[{"bucket": j, "low": 3 * j, "high": 3 * j + i % 4, "large": j == 1} for j in range(3)] for i in range(12)]
+    kind = pa.list_(pa.struct([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("large", pa.bool_())]))
+    batch = pa.record_batch([pa.array(range(12)), pa.array([0] * 12), pa.array(texts), pa.array(own, kind)], names=["doc", "mark", "text", "runs"])
+    rows = pa.Table.from_batches(suffixes._with_bytes([batch.slice(2)])).to_pylist()
+    plain = {(r["doc"], r["bucket"], r["low"], r["high"]): r["bytes"] for r in rows if r["bytes"]}
+    assert plain == {(i, j, 3 * j, 3 * j + i % 4): texts[i].encode()[3 * j:3 * j + i % 4 + 100] for i in range(2, 12) for j in (0, 2)}
+    strings = [(r["bucket"], texts[r["doc"]].encode()[r["low"]:r["high"] + 100]) for r in rows if not r["bytes"]]
+    assert len(strings) == sum(i % 4 + 1 for i in range(2, 12)) and len(set(strings)) == len({k for k, _ in strings}) == len({x for _, x in strings})
+    kept = np.array([not r["gone"] for r in rows if not r["bytes"]])
+    assert kept.sum() >= len(set(strings)) and (size > 7) <= (kept.sum() == len(set(strings)))
