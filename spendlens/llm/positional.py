@@ -29,6 +29,7 @@ SLOP = 2
 BLOCK = 200_000  # windows sent to the tasks at once
 TERMS = 2_000_000  # benchmark terms up to which the index is limited to them
 _WORDS = 1 << 19  # words laid out at once while matching
+_CANDIDATES = 1 << 18  # candidate starts compared at once
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,15 +127,23 @@ class _Plan:
         where, at = where[known], at[known].astype(np.int32)
         laid = np.full(int(bounds[-1]), -1, np.int32)
         laid[where] = at
-        counts = self.first[at + 1] - self.first[at]
-        window = ranges(self.first[at], counts)
-        start = np.repeat(where, counts) - self.order[window, 0]
-        doc = np.searchsorted(bounds, np.repeat(where, counts), "right") - 1
-        low, high = bounds[doc], bounds[doc + 1]
-        fits = (start >= low) & (start + self.length[window] <= high)
-        exact = self._intersect(laid, start[fits], window[fits], low[fits], high[fits], 0)
-        near = self._intersect(laid, start, window, low, high, slop) if slop else exact
-        return exact, near
+        # candidates by portions of occurrences, as a frequent term may be the rarest of many windows
+        exact, near = [], []
+        total = np.cumsum(self.first[at + 1] - self.first[at])
+        first = 0
+        while first < len(at):
+            last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + _CANDIDATES, "right")))
+            part, own = at[first:last], where[first:last]
+            counts = self.first[part + 1] - self.first[part]
+            window, place = ranges(self.first[part], counts), np.repeat(own, counts)
+            start = place - self.order[window, 0]
+            doc = np.searchsorted(bounds, place, "right") - 1
+            low, high = bounds[doc], bounds[doc + 1]
+            fits = (start >= low) & (start + self.length[window] <= high)
+            exact.append(self._intersect(laid, start[fits], window[fits], low[fits], high[fits], 0))
+            near.append(self._intersect(laid, start, window, low, high, slop) if slop else exact[-1])
+            first = last
+        return tuple(tuple(map(np.concatenate, zip((np.zeros(0, np.int64),) * 2, *found))) for found in (exact, near))
 
     def _intersect(self, laid, start, window, low, high, slop):
         for j in range(1, self.ids.shape[1]):
@@ -153,9 +162,10 @@ class _Plan:
 _FOUND = "matches array<struct<item:string,start:int,length:int>>, near array<struct<item:string,start:int>>"
 
 
-def _search(indexed: DataFrame, plan: _Plan, slop: int) -> DataFrame:
-    """Add a block's phrase and proximity matches to those that earlier blocks have left."""
+def _search(indexed: DataFrame, plan: _Plan, slop: int, last_block: bool) -> DataFrame:
+    """Add a block's phrase and proximity matches to those that earlier blocks have left; the last leaves out the tokens."""
     shared = indexed.sparkSession.sparkContext.broadcast(plan)
+    left = indexed.drop("positions", "terms").schema if last_block else indexed.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
@@ -170,16 +180,16 @@ def _search(indexed: DataFrame, plan: _Plan, slop: int) -> DataFrame:
                 lengths = np.diff(rows.column(2).offsets.to_numpy())
                 where = rows.column(2).flatten().to_numpy() + np.repeat(bounds[:-1], lengths)
                 exact, near = plan.match(bounds, where, rows.column(3).flatten().to_numpy(), slop)
-                out = [rows.column(i) for i in range(4)]
+                out = [rows.column(i) for i in range(2 if last_block else 4)]
                 for i, (start, window) in ((4, exact), (5, near)):
                     doc = np.searchsorted(bounds, start, "right") - 1 if i == 4 else _owner(bounds, start, window, plan)
                     order = np.lexsort((window, start, doc))
                     start, window, doc = start[order], window[order], doc[order]
                     out.append(_joined(rows.column(i), doc, start - bounds[doc], window, plan, i == 4))
-                yield pa.RecordBatch.from_arrays(out, names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays(out, names=left.names)
                 first = last
 
-    return indexed.mapInArrow(run, indexed.schema)
+    return indexed.mapInArrow(run, left)
 
 
 def _owner(bounds, start, window, plan):
@@ -218,7 +228,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
         counts = {r["term"]: r["count"] for r in frequencies(found, wanted).collect()}
         plan = _Plan(rows, counts)
         if plan.items:
-            found = _search(found, plan, slop)
+            found = _search(found, plan, slop, block == blocks - 1)
             if block < blocks - 1:
                 found = store(found, "matches")
     return found.select("key", "n_words", "matches", "near")

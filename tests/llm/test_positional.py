@@ -2,8 +2,10 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 
 import duckdb
+import numpy as np
 import pytest
 from spendlens.llm import positional
 
@@ -133,3 +135,18 @@ def test_whole_query_matches_sql(spark):
     found = con.execute(SQL)
     columns = [c[0] for c in found.description]
     assert sorted(map(tuple, positional.op8(spark, "/root/testdata/sf0.01").select(columns).collect())) == sorted(found.fetchall())
+
+
+def test_a_rarest_term_of_many_windows_is_matched_in_portions():
+    rows = [{"item": str(i), "terms": [1, 10 + i]} for i in range(2000)]
+    plan = positional._Plan(rows, {1: 1, **{10 + i: 2 for i in range(2000)}})
+    hashes = np.ones(2000, np.int64)
+    hashes[1::2] = 10 + np.arange(1000)
+    tracemalloc.start()
+    exact, near = plan.match(np.array([0, 1000, 2000]), np.arange(2000), hashes, 2)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted((s, int(plan.items[w])) for s, w in zip(*map(np.ndarray.tolist, exact))) == [(2 * i, i) for i in range(1000)]
+    expected = {(2 * p, i) for i in range(1000) for p in (i - 1, i, i + 1) if 0 <= p < 1000 and p // 500 == i // 500}
+    assert set(zip(near[0].tolist(), (int(plan.items[w]) for w in near[1].tolist()))) == expected
+    assert most < 60e6
