@@ -214,9 +214,9 @@ def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = plain[at:at + _RUNS]
             sizes = high[i] + LENGTH - low[i]
             yield _asked(batch, row[i], bucket[i], low[i], high[i], data[ranges(base[row[i]] + low[i], sizes)], sizes, np.zeros(len(i), bool))
-        # in order of buckets, so that copies mostly meet in one portion
+        # in order of buckets, so that copies mostly meet in one portion, and of places, so that a task run again has the same portions
         dealt = np.flatnonzero(large)
-        dealt = dealt[np.argsort(bucket[dealt], kind="stable")]
+        dealt = dealt[np.lexsort((low[dealt], row[dealt], bucket[dealt]))]
         for at in range(0, len(dealt), _RUNS):
             i = dealt[at:at + _RUNS]
             sizes, counts = high[i] + LENGTH - low[i], high[i] - low[i] + 1
@@ -266,8 +266,13 @@ def _repeats(batch: pa.Table) -> pa.RecordBatch:
 
 
 def _second_refinement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeated strings of runs sorted by bucket and order; those found gone before come last and pass."""
     kept = None
     for batch in batches:
+        gone = batch["gone"]
+        if pc.any(gone).as_py():
+            yield batch.filter(gone).select(["doc", "mark", "low", "high"])
+            batch = batch.filter(pc.invert(gone))
         rows = pa.Table.from_batches([batch])
         rows = pa.concat_tables([kept, rows]) if kept is not None else rows
         if not len(rows):
@@ -302,16 +307,15 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", many: int
     large = store(large, "large-buckets")  # a stored side leaves the join to Spark's treatment of skew
     left = left.join(large, "bucket", "left").groupBy("doc", "mark").agg(F.collect_list(F.struct(
         "bucket", "low", "high", F.coalesce("large", F.lit(False)).alias("large"))).alias("runs"))
-    asked = own.join(left.withColumnsRenamed({"doc": "doc_", "mark": "mark_"}),
+    # merged, never broadcast: the texts come in order, so that a task run again finds the same strings gone in a portion
+    asked = own.join(left.withColumnsRenamed({"doc": "doc_", "mark": "mark_"}).hint("merge"),
                      F.col("doc").eqNullSafe(F.col("doc_")) & (F.col("mark") == F.col("mark_")))
     asked = asked.select("doc", "mark", "text", "runs").mapInArrow(
         _with_bytes, f"doc {kind}, mark long, bucket long, low long, high long, bytes binary, gone boolean")
-    asked = store(asked, "run-bytes")
-    dealt = asked.where("NOT gone").repartition("bucket").sortWithinPartitions(
-        "bucket", F.col("doc").asc_nulls_last(), "mark", "low")
+    # what a portion has settled shares the exchange, dealt out evenly
+    dealt = asked.repartition(F.when(F.col("gone"), F.xxhash64("doc", "low")).otherwise(F.col("bucket"))).sortWithinPartitions(
+        "gone", "bucket", F.col("doc").asc_nulls_last(), "mark", "low")
     again = dealt.mapInArrow(_second_refinement, f"doc {kind}, mark long, low long, high long")
-    again = store(again.unionByName(asked.where("gone").select("doc", "mark", "low", "high")), "repeated-strings")
-    release(docs.sparkSession)
     return rows, gone.unionByName(again)
 
 
@@ -319,7 +323,8 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", many:
     """(key, n_bytes, spans, kept): removed byte spans, ends exclusive, and the bytes that are left, per row."""
     rows, gone = repeats(docs, key, text, many)
     spans = gone.groupBy("doc", "mark").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
-    spans = spans.withColumnsRenamed({"doc": "doc_", "mark": "mark_"})
+    # merged like the runs before, so that both joins read one exchange of the texts
+    spans = spans.withColumnsRenamed({"doc": "doc_", "mark": "mark_"}).hint("merge")
     joined = rows.join(spans, F.col("doc").eqNullSafe(F.col("doc_")) & (F.col("mark") == F.col("mark_")), "left")
     kind = rows.schema["doc"].dataType.simpleString()
 

@@ -1,11 +1,13 @@
 import hashlib
 import random
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from spendlens.llm import suffixes
+from spendlens.session import scratch_root
 
 
 def brute(rows, length=100):
@@ -143,3 +145,41 @@ def test_bytes_of_runs_in_portions(monkeypatch, size):
     assert len(strings) == sum(i % 4 + 1 for i in range(2, 12)) and len(set(strings)) == len({k for k, _ in strings}) == len({x for _, x in strings})
     kept = np.array([not r["gone"] for r in rows if not r["bytes"]])
     assert kept.sum() >= len(set(strings)) and (size > 7) <= (kept.sum() == len(set(strings)))
+
+
+def test_few_files_are_written_and_texts_move_once(spark):
+    # each file of a local file system starts two processes of an executor, whose memory is seen twice until they run
+    files = lambda: {p for p in Path(scratch_root(spark)).rglob("part-*.parquet")}
+    rows, before = corpus(7, 200), files()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    found = suffixes.deduplicate(docs)
+    assert {r["key"]: r["n_bytes"] - len(r["kept"]) for r in found.collect()} == {k: v[1] for k, v in brute(rows).items()}
+    assert len(files() - before) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("SortMergeJoin") == 2
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_strings_found_gone_pass_the_second_refinement(size):
+    rnd = random.Random(8)
+    text = "".join(rnd.choices("abcdef", k=103)).encode()
+    rows = [(i, 0, i // 3, 5, 8, text, False) for i in range(9)] + [(i, 0, i % 4, 40 + i, 40 + i, b"", True) for i in range(20)]
+    names = ["doc", "mark", "bucket", "low", "high", "bytes", "gone"]
+    table = pa.table([pa.array(x) for x in zip(*rows)], names=names)
+    found = pa.Table.from_batches(suffixes._second_refinement(table.to_batches(max_chunksize=size))).to_pylist()
+    assert sorted(tuple(r.values()) for r in found) == sorted(
+        [(i, 0, 5, 8) for i in range(9) if i % 3] + [(i, 0, 40 + i, 40 + i) for i in range(20)])
+
+
+def test_portions_do_not_depend_on_the_order_of_runs(monkeypatch):
+    monkeypatch.setattr(suffixes, "_RUNS", 5)
+    text = "".join(random.Random(4).choices("ab", k=30)) * 20
+    own = [{"bucket": j % 2, "low": 15 * j, "high": 15 * j + 3, "large": True} for j in range(30)]
+    kind = pa.list_(pa.struct([("bucket", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("large", pa.bool_())]))
+
+    def rows(runs):
+        batch = pa.record_batch([pa.array([1, 2]), pa.array([0, 0]), pa.array([text, text]), pa.array([runs, runs], kind)],
+                                names=["doc", "mark", "text", "runs"])
+        return pa.Table.from_batches(suffixes._with_bytes([batch])).to_pylist()
+
+    assert rows(own) == rows(own[::-1])
