@@ -125,3 +125,44 @@ def test_repeated_and_missing_ids(spark):
         if i % 3 < 2 and i % 5 < 4:
             least[t] = min(least.get(t, 10**9), i)
     assert {r.transaction_id: int(r.amount) for r in found} == least
+
+
+def enriched(spark, stored):
+    from spendlens.plans import transactions
+
+    names = ("transaction_id", "project_id", "vendor_id", "vendor_name", "amount", "currency", "category", "payment_status",
+             "transaction_date", "invoice_ref", "approved_by")
+    rows = [(None if i % 90 == 0 else f"T{i % 250}", f"P{i % 7}" if i % 5 else None, "V", None, str(i), "AED", "c", "Paid", "2024-01-05", f"I{i}",
+             (None, " ", "None", "E1", "E1", "E2", "E9")[i % 7]) for i in range(400)]
+    raw = materialize(spark.createDataFrame(rows, ", ".join(f"{name} string" for name in names)), "raw")
+    projects = spark.createDataFrame([(f"P{i % 5}", f"n{i // 5}", None) for i in range(10)], "project_id string, project_name string, department string")
+    people = spark.createDataFrame([("E1", "Ann"), ("E2", None), (None, "Nobody"), ("E1", "Zoe")], "employee_id string, full_name string")
+    return transactions.enrich_transactions(raw, projects, people, **({"stored": True} if stored else {}))
+
+
+def test_stored_transactions_move_once_for_both_names(spark):
+    plain = enriched(spark, False)
+    with dealt_alike(spark):
+        dealt = enriched(spark, True)
+        assert dealt.columns == plain.columns
+        wide = [keys for keys in moved(dealt) if keys in ("approved_by", "project_id")]
+        assert moved(dealt).count("_range") >= 1 and len(wide) <= 4
+        found = sorted(map(str, dealt.collect()))
+    assert found == sorted(map(str, plain.collect())) and len(found) == 400
+
+
+def test_the_larger_side_is_added_last(spark):
+    """The first exchange need not move what the second join adds."""
+    joins = [line for line in enriched(spark, False)._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert "project_id" in joins[0] and "approved_by" in joins[1]
+
+
+def test_repeated_keys_are_told_by_their_hashes(spark):
+    from spendlens.plans import quality
+
+    for keys, copies in (([str(i) for i in range(60)], 0), (["a", "a", "b", None, None, None], 3), ([None, "a"], 0), ([], 0)):
+        rows = spark.createDataFrame([(k,) for k in keys], "k string")
+        found = spark.range(1).select(quality._extra_copies(rows, "k").alias("n"))
+        assert found.first().n == copies
+        # the keys themselves are grouped only if hashes repeat
+        assert ("k#" in found._jdf.queryExecution().optimizedPlan().toString()) == bool(copies)
