@@ -88,14 +88,15 @@ def run_etl(
     clean = {
         "projects": clean_projects,
         "employees": clean_employees,
-        "transactions": transactions.enrich_transactions(raw["transactions"], clean_projects, clean_employees),
+        "transactions": transactions.enrich_transactions(raw["transactions"], clean_projects, clean_employees, stored=True),
     }
     metrics = []
     raw_rows = {name: df.count() for name, df in raw.items()}
     for name, df in clean.items():
         counted, rows = _counted(df)
         path = f"{out_dir}/{name}_clean"
-        writers.write_csv(counted, path, packed=True)
+        with session.dealt_alike(spark):
+            writers.write_csv(counted, path, packed=True)
         writers.verify_output(spark, path, "csv")
         metrics += [
             (name, "extract", "rows", raw_rows[name]),
